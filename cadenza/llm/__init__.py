@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality_rules", "url_filter", "language_id")
+MODULES = ("quality_rules", "url_filter", "language_id", "byte_bpe")
 
 
 def _gathered(what: str) -> dict:
