@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality_rules", "url_filter", "language_id", "byte_bpe")
+MODULES = ("quality_rules", "url_filter", "language_id", "byte_bpe", "token_records")
 
 
 def _gathered(what: str) -> dict:
