@@ -7,7 +7,8 @@ divided by its number of characters, against a threshold calibrated on the label
 accuracy; the larger of equal ones, which blocks less). Digits count as one character, so that page numbers
 carry nothing. Main path: DataFrame functions only. URLs are cut into character grams, the grams are counted
 once, and the models are evaluated once for each distinct gram and joined back; Catalyst broadcasts the gram
-table only if its size is below the session's threshold.
+table only if its size is below the session's threshold. The distinct URLs, the gram counts, the gram ratios and
+the scores are written to the shared folder, so that each is computed once and no plan grows with the order.
 
 Nulls and edges: a null URL or one without `://` has an empty host and path and no rule, and is allowed; repeated
 rows are judged each for itself; with only one kind of label, or none, all URLs without a rule are allowed; input
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cadenza.llm._shared import Scratch
+
 #: verdict, host and path prefix
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 ORDER = 4
@@ -95,11 +98,13 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES, order: int = ORDE
     split = split.withColumn("__r", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("rule", F.col("__r.rule")).withColumn("__l", F.col("__r.verdict")).drop("__r")
     split = split.withColumn("__s", F.translate(F.concat("host", "path"), "123456789", "000000000"))
     texts = split.groupBy(F.col("__s").alias("s"), F.col("__l").alias("label")).agg(F.count("*").alias("n")).where("s <> ''")
+    scratch = Scratch(pages.sparkSession, "urls")
+    texts = scratch.keep(texts, "texts")
     grams = _grams(texts, order)
     weight = {"accepted": "allow", "rejected": "block"}
     counts = grams.groupBy("gram").agg(*(F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).alias(k) for k, v in weight.items()))
-    ratios = gram_ratios(counts, order)
-    by_text = _grams(texts.select("s").distinct(), order).join(ratios, "gram").groupBy("s").agg(F.round(F.sum(F.round("ratio", 9)) / F.count("*"), 3).alias("score"))
+    ratios = scratch.keep(gram_ratios(scratch.keep(counts, "counts"), order), "ratios")
+    by_text = scratch.keep(_grams(texts.select("s").distinct(), order).join(ratios, "gram").groupBy("s").agg(F.round(F.sum(F.round("ratio", 9)) / F.count("*"), 3).alias("score")), "scores")
     threshold = calibrated(texts.join(by_text, "s"))
     scores = by_text.withColumnRenamed("s", "__s").crossJoin(F.broadcast(threshold))  # one row
     out = split.join(scores, "__s", "left")
