@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("quality_rules", "url_filter", "language_id", "byte_bpe", "token_records")
+MODULES = ("near_dedup", "token_records", "quality_rules", "language_id", "byte_bpe", "url_filter")
 
 
 def _gathered(what: str) -> dict:
