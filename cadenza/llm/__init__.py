@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("near_dedup", "token_records", "quality_rules", "language_id", "byte_bpe", "url_filter", "context_mixing", "collision_search", "length_packing")
+MODULES = ("near_dedup", "token_records", "quality_rules", "language_id", "byte_bpe", "url_filter", "context_mixing", "collision_search", "length_packing", "transcripts")
 
 
 def _gathered(what: str) -> dict:
