@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -162,6 +164,13 @@ def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task then holds little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def sequence_bytes(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows [i, j) of a batch with the bytes and offsets of a text column, in runs of bounded size."""
     raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(name)))

@@ -11,7 +11,7 @@ is what links connect. The steps:
 3. Candidates come from the prefix lists in rounds. In each list the first members stand for it and meet the members
    of other components only; links found join components, so later rounds have less to do, and a list whose members
    are all in one component is done. The members that stood for a list leave it. The number that stand for a list
-   doubles, so that rounds stay few; lists of near copies are done after one. No list is expanded into all its pairs.
+   grows eightfold, so that rounds stay few; lists of near copies are done after one. No list is expanded into all its pairs.
 4. Collisions of a candidate are counted over all coordinates, the skipped ones too; from `matches` on, the link is
    confirmed on both whole sets.
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from cadenza.llm._shared import LOWER, Scratch, mix, sequence_bytes, word_hashes, words
+from cadenza.llm._shared import LOWER, Scratch, mix, sequence_bytes, trim, word_hashes, words
 
 COORDINATES, MATCHES = 48, 24
 #: Ids that are broadcast at most (8 bytes each); beyond it the same join is shuffled.
@@ -97,6 +97,7 @@ def _signing(size: int, coordinates: int):
                 ends = np.concatenate([[0], np.cumsum(full * coordinates)]).astype(np.int32)
                 key = pa.array(keys[place] if len(keys) else np.zeros(j - i, np.int64), pa.int64(), mask=~full)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), key, pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))], names=["doc_id", "n_shingles", "key", "posts"])
+        trim()
 
     return run
 
@@ -111,6 +112,7 @@ def _listing(size: int):
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in full])]).astype(np.int32)
                 flat = np.concatenate(full) if full else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["key", "shingles"])
+        trim()
 
     return run
 
@@ -216,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             members = scratch.keep(named.select("h", "key", F.coalesce("root", "key").alias("root")), f"members-{k}")
         if not members.limit(1).count():
             break
-        stand = min(2 * stand, 256)
+        stand = min(8 * stand, 512)
     least = classes.select("key", "doc_id")
     if roots is not None:
         rooted = least.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"), "doc_id")

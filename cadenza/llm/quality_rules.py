@@ -116,15 +116,34 @@ def measure(text: Column) -> Column:
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the measurements and `failed`, a long whose bit i is set if rule i of RULES fails."""
-    own = {"n_words": "m.w.n_words", "word_chars": "m.w.word_chars", "n_repeat_words": "m.w.h.n_repeat_words", "n_stutters": "m.w.h.n_stutters", "n_lines": "m.l.n_lines", "n_dup_lines": "m.l.n_dup_lines", "n_symbols": "m.n_symbols", "n_upper": "m.n_upper", "n_bangs": "m.n_bangs"}
-    rest = [c for c in docs.columns if c.lower() not in {*MEASURES, "failed"} or c == text_col]
-    kept = docs.select(*(F.col(f"`{c}`") for c in rest), measure(F.col(f"`{text_col}`")).alias("__m"))
-    flat = kept.select(*(F.col(f"`{c}`") for c in rest), *(F.col(own[m].replace("m.", "__m.", 1)).alias(m) for m in MEASURES))
-    bits = [F.when(rule(F.col), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, (_, rule) in enumerate(RULES)]
-    mask = bits[0]
-    for b in bits[1:]:
-        mask = mask.bitwiseOR(b)
-    return flat.withColumn("failed", mask)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {*MEASURES, "failed"}]
+    own = docs.select(*rest, measure(F.col(f"`{text_col}`")).alias("__m"))
+    places = {"n_words": "w.n_words", "word_chars": "w.word_chars", "n_repeat_words": "w.h.n_repeat_words", "n_stutters": "w.h.n_stutters", "n_lines": "l.n_lines", "n_dup_lines": "l.n_dup_lines"}
+    flat = own.select(*rest, *(F.col(f"__m.{places.get(m, m)}").alias(m) for m in MEASURES))
+    return flat.withColumn("failed", _mask(F.col))
+
+
+def _mask(measured: Callable[[str], Column]) -> Column:
+    mask = F.lit(0).cast("long")
+    for i, (_, rule) in enumerate(RULES):
+        mask = mask.bitwiseOR(F.when(rule(measured), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    return mask
+
+
+def failures(text: Column) -> Column:
+    """The ledger's `failed` of a text, for filtering rows whatever their columns."""
+    places = {"n_words": ("w", "n_words"), "word_chars": ("w", "word_chars"), "n_repeat_words": ("w", "h", "n_repeat_words"), "n_stutters": ("w", "h", "n_stutters"), "n_lines": ("l", "n_lines"), "n_dup_lines": ("l", "n_dup_lines")}
+
+    def of(m: Column) -> Column:
+        def measured(name: str) -> Column:
+            out = m
+            for part in places.get(name, (name,)):
+                out = out[part]
+            return out
+
+        return _mask(measured)
+
+    return _let(measure(text), of)
 
 
 def policy_mask(policy: str | tuple[str, ...]) -> int:
