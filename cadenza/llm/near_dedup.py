@@ -8,12 +8,14 @@ is what links connect. The steps:
 2. Classes are posted under each coordinate-value pair. Lists of one class vanish. A pair that matches in `matches`
    coordinates or more has to meet in the prefixes of both classes: all but the `matches` - 1 longest lists of each,
    in one global order. Those longest lists are skipped; no candidate ever comes from them.
-3. Candidates come from the prefix lists in rounds. In each list the first members stand for it and meet the members
-   of other components only; links found join components, so later rounds have less to do, and a list whose members
-   are all in one component is done. The members that stood for a list leave it. The number that stand for a list
-   grows eightfold, so that rounds stay few; lists of near copies are done after one. No list is expanded into all its pairs.
-4. Collisions of a candidate are counted over all coordinates, the skipped ones too; from `matches` on, the link is
-   confirmed on both whole sets.
+3. The smallest class of each prefix list meets the other members. Collisions of these candidates are counted over all
+   coordinates, the skipped ones too; from `matches` on, the link is confirmed on both whole sets. This settles
+   most lists: those of near copies are one component then.
+4. Lists that still hold several components are merged in blocks. Each class is dealt to a block of the longest list near
+   it; blocks have a bounded number of classes and of shingles, and two blocks that occur in one list meet in one task.
+   There collisions are counted coordinate by coordinate for classes of different components, and pairs that reach
+   `matches` are confirmed by one product of their shingle matrices. A task gives only the links that a spanning forest
+   of what it found needs. So no list is expanded into pairs of rows, however many texts nearly alike it holds.
 
 At 0.8 similarity, 24 of 48 coordinates are missed with a chance below 1e-6. Links and components stay in tables in
 the shared folder; the driver only sees counts.
@@ -144,26 +146,99 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
             return now
 
 
-def _candidates(members: DataFrame, stand: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of the members that stand for each list with those of other components, and the members that remain.
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the smallest class of each list with its other members."""
+    first = members.groupBy("h").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = first.join(members.select("h", F.col("key").alias("b")), "h").where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    members: h, key, root. The `stand` smallest keys of a list stand for it. They are found by a sorted array of
-    bounded length that is merged before the shuffle, so a long list is never gathered.
+
+#: Classes and shingles of a block, as far as a hash deals evenly; one class is never cut.
+BLOCK_CLASSES, BLOCK_SHINGLES = 384, 400_000
+
+
+def _block_tasks(members: DataFrame, met: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows (x, y, block, key, root, posts, shingles): the classes of blocks x and y, for all blocks that share an open list.
+
+    members: h, key, root of all prefix lists; a list is open if it holds several components.
     """
-    lists = members.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), *([F.min("key").alias("first")] if stand == 1 else [])).where("r0 <> r1").drop("r0", "r1")
-    open_members = members.join(lists, "h")
-    if stand == 1:
-        leads = lists.select("h", F.array("first").alias("leads"))
-    else:
-        ranked = open_members.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64)))
-        some = ranked.withColumn("r", F.row_number().over(W.partitionBy("h", "part").orderBy("key"))).where(F.col("r") <= stand)
-        some = some.withColumn("r", F.row_number().over(W.partitionBy("h").orderBy("key"))).where(F.col("r") <= stand)
-        leads = some.groupBy("h").agg(F.collect_list("key").alias("leads"))
-    with_leads = open_members.select("h", "key", "root").join(leads, "h")
-    remain = with_leads.where(~F.array_contains("leads", F.col("key"))).select("h", "key", "root")
-    lead = with_leads.where(F.array_contains("leads", F.col("key"))).select("h", F.col("key").alias("a"), F.col("root").alias("ra"))
-    pairs = lead.join(members.select("h", F.col("key").alias("b"), "root"), "h").where("a <> b and ra <> root")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), remain
+    lists = members.groupBy("h").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h", "n")
+    rows = scratch.keep(members.join(lists, "h"), "open")
+    home = rows.groupBy("key").agg(F.max(F.struct("n", "h")).alias("home"))
+    near = rows.join(home, "key").groupBy("h").agg(F.max("home").alias("home"))  # a list's classes follow the longest list that any of them is in
+    home = rows.join(near, "h").groupBy("key").agg(F.max("home").alias("home"), F.first("root").alias("root"))
+    sized = home.select("key", "root", F.col("home.h").alias("home")).join(sets.select("key", F.size("shingles").alias("size")), "key")
+    parts = sized.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("parts"))
+    dealt = scratch.keep(sized.join(parts, "home").select("key", "root", F.xxhash64("home", F.pmod(F.xxhash64("key"), F.col("parts"))).alias("block")), "blocks")
+    spread = rows.select("h", "key").join(dealt.select("key", "block"), "key").select("h", "block").distinct()
+    meet = spread.select("h", F.col("block").alias("x")).join(spread.select("h", F.col("block").alias("y")), "h").where("x <= y").select("x", "y").distinct()
+    sides = meet.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    held = dealt.join(met.select("key", "posts"), "key").join(sets, "key")
+    return sides.join(held, "block")
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of left with all of right, as products of presence matrices, some columns at a time."""
+    n, sizes = len(left), [len(x) for x in (*left, *right)]
+    shingles, column = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out, width = np.zeros((n, len(right)), np.float32), 4096
+    for begin in range(0, len(shingles), width):
+        a, b = np.searchsorted(column, [begin, begin + width])
+        present = np.zeros((len(sizes), width), np.float32)
+        present[row[a:b], column[a:b] - begin] = 1
+        out += present[:n] @ present[n:].T
+    return out.astype(np.int64)
+
+
+def forest(a: list[int], b: list[int]) -> list[int]:
+    """Places of the links (a, b) that join what earlier ones have not."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            parent[x] = y
+            kept.append(k)
+    return kept
+
+
+def _merging(percent: int, matches: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        block = table.column("block").to_numpy()
+        key, root = table.column("key").to_numpy(), table.column("root").to_numpy()
+        posts = table.column("posts").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
+        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        same = np.zeros((len(left), len(right)), np.uint16)
+        for k in range(posts.shape[1]):
+            same += posts[left, k][:, None] == posts[right, k][None, :]
+        maybe = (same >= matches) & (root[left][:, None] != root[right][None, :])
+        if x == y:
+            maybe = np.triu(maybe, 1)
+        i, j = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+        if not len(i):
+            return schema.empty_table()
+        shingles = table.column("shingles")
+        one, two = ([shingles[int(k)].values.to_numpy() for k in side] for side in (left[i], right[j]))
+        common = common_shingles(one, two)
+        sizes = np.array([len(s) for s in one])[:, None] + np.array([len(s) for s in two])[None, :]
+        found = np.argwhere(maybe[np.ix_(i, j)] & (100 * common >= percent * (sizes - common)))
+        a, b = left[i[found[:, 0]]], right[j[found[:, 1]]]
+        keep = forest(root[a].tolist(), root[b].tolist())
+        return pa.table([pa.array(key[a[keep]]), pa.array(key[b[keep]])], schema=schema)
+
+    return run
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
@@ -191,39 +266,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = posts.join(often, "h")
     own = W.partitionBy("key")
     ranked = shared.withColumn("m", F.count("*").over(own)).withColumn("r", F.row_number().over(own.orderBy("n", "h")))
-    members = scratch.keep(ranked.where(F.col("r") <= F.col("m") - (matches - 1)).select("h", "key", F.col("key").alias("root")), "members-0")
+    members = scratch.keep(ranked.where(F.col("r") <= F.col("m") - (matches - 1)).select("h", "key"), "members-0")
     met = scratch.keep(members.select("key").distinct().join(classes, "key"), "met")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     wanted = texts.join(_few(met.select("doc_id").distinct()), "doc_id", "left_semi")
     sets = scratch.keep(wanted.mapInArrow(_listing(size), "key long, shingles array<long>").dropDuplicates(["key"]), "sets")
-    roots, stand, k = None, 1, 0
-    while True:
-        pairs, remain = _candidates(members, stand)
-        links = scratch.keep(confirmed(pairs, met.select("key", "posts"), sets, percent, matches), f"links-{k}")
-        remain = scratch.keep(remain, f"remain-{k}")
-        scratch.drop(f"members-{k}")
-        k += 1
-        if not links.limit(1).count():
-            members = remain
-        else:
-            between = links if roots is None else _at_roots(links, roots)
-            moved = components(between, scratch, f"components-{k}")
-            if roots is None:
-                roots = moved
-            else:
-                old = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
-                fresh = moved.join(roots.select("node"), "node", "left_anti")
-                roots = scratch.keep(old.unionByName(fresh), f"roots-{k}")
-            named = remain.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left")
-            members = scratch.keep(named.select("h", "key", F.coalesce("root", "key").alias("root")), f"members-{k}")
-        if not members.limit(1).count():
-            break
-        stand = min(8 * stand, 512)
+    links = scratch.keep(confirmed(_first_pairs(members), met.select("key", "posts"), sets, percent, matches), "links-0")
+    roots = scratch.keep(components(links, scratch, "first"), "roots-0")
+    named = members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("h", "key", F.coalesce("root", "key").alias("root"))
+    tasks = _block_tasks(scratch.keep(named, "members-1"), met, sets, scratch)
+    more = scratch.keep(tasks.groupBy("x", "y").applyInArrow(_merging(percent, matches), "a long, b long"), "links-1")
+    if more.limit(1).count():
+        roots = components(links.unionByName(more), scratch, "second")
     least = classes.select("key", "doc_id")
-    if roots is not None:
-        rooted = least.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"), "doc_id")
-        ids = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
-        least = rooted.select("key", "root").join(ids, "root").select("key", "doc_id")
+    rooted = least.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"), "doc_id")
+    ids = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
+    least = rooted.select("key", "root").join(ids, "root").select("key", "doc_id")
     named = signed.select("doc_id", "n_shingles", "key").join(least.select("key", F.col("doc_id").alias("first_id")), "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
     out = named.select("doc_id", "n_shingles", component.alias("component_id"), "key").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -232,13 +290,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out
 
 
-def _at_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
-    """Links between the components of their ends."""
-    for x in ("a", "b"):
-        links = links.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")), x, "left").withColumn(x, F.coalesce(f"{x}_root", x)).drop(f"{x}_root")
-    return links.where("a <> b").distinct()
-
-
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs without near duplicates: of each component the document with the smallest id stays, once."""
     found = near_duplicates(docs, id_col, text_col, size, percent)
