@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import importlib
+
+_MODULES = ("segmentation",)
+
+
+def _load():
+    for name in _MODULES:
+        importlib.import_module(f"{__name__}.{name}")
+    return importlib.import_module(f"{__name__}._registry")
+
 
 def queries() -> dict:
-    return {}
+    return dict(_load().QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_load().ORACLES)
