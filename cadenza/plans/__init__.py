@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("segmentation",)
+_MODULES = ("segmentation", "catalog", "learning", "compute")
 
 
 def _load():

@@ -33,18 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Measurements of a frame, as expressions of an event's id that Spark and SQL read alike.
 MEASURES = {
-    "center_x": "(event_id * 37 % 100) / 100.0",
-    "center_y": "(event_id * 53 % 100) / 125.0",
-    "face_scale": "0.04 + (event_id * 7 % 40) / 160.0",
-    "face_score": "0.5 + (event_id * 29 % 50) / 98.0",
-    "rigidity": "(event_id * 31 % 30) / 1000.0",
-    "pitch": "(event_id * 13 % 61) - 30.0",
-    "yaw": "(event_id * 17 % 101) - 50.0",
-    "roll": "(event_id * 19 % 51) - 25.0",
-    "gaze_h": "(event_id * 41 % 41 - 20) / 100.0",
-    "gaze_v": "(event_id * 43 % 26 - 10) / 100.0",
-    "left_open": "CASE WHEN event_id % 23 <> 0 THEN (event_id * 47 % 20) / 20.0 END",
-    "right_open": "CASE WHEN event_id % 29 <> 0 THEN (event_id * 59 % 20) / 20.0 END",
+    "center_x": "CAST(event_id * 37 % 100 AS DOUBLE) / 100",
+    "center_y": "CAST(event_id * 53 % 100 AS DOUBLE) / 125",
+    "face_scale": "CAST(event_id * 7 % 40 + 6 AS DOUBLE) / 160",
+    "face_score": "CAST(event_id * 29 % 50 + 49 AS DOUBLE) / 98",
+    "rigidity": "CAST(event_id * 31 % 30 AS DOUBLE) / 1000",
+    "pitch": "CAST(event_id * 13 % 61 - 30 AS DOUBLE)",
+    "yaw": "CAST(event_id * 17 % 101 - 50 AS DOUBLE)",
+    "roll": "CAST(event_id * 19 % 51 - 25 AS DOUBLE)",
+    "gaze_h": "CAST(event_id * 39 % 41 - 20 AS DOUBLE) / 100",
+    "gaze_v": "CAST(event_id * 43 % 26 - 10 AS DOUBLE) / 100",
+    "left_open": "CASE WHEN event_id % 23 <> 0 THEN CAST(event_id * 47 % 20 AS DOUBLE) / 20 END",
+    "right_open": "CASE WHEN event_id % 29 <> 0 THEN CAST(event_id * 59 % 20 AS DOUBLE) / 20 END",
 }
 
 #: The events of a user as a timeline: idx is the place in the order of (ts, event_id).
