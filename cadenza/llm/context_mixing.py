@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm._shared import _T, LOWER, Scratch, _powers, mix, slices, text_bytes, word_hashes, words
+from cadenza.llm._shared import _T, LOWER, Scratch, _powers, mix, slices, text_bytes, trim, word_hashes, words
 from cadenza.llm.language_id import held_out
 
 CHUNK, SHORT, CLASSES = 48, 3, 256
@@ -50,8 +50,8 @@ TERMINATOR, END = 32, 10
 VOCABULARY = 1 << 20
 #: Bits of a place that see the class; those further on differ little between classes.
 CLASS_DEPTH = 12
-#: Weights at the start of a text, by gate: places (without and with a seen context of the class), spelling (without and with six seen bytes).
-START = np.array([[0.9, 0.0, 0.0, 0.0], [0.2, 0.8, 0.0, 0.0], [0.4, 0.5, 0.35, 0.0], [0.3, 0.4, 0.25, 0.3]], np.float32)
+#: Weights at the start of a text: for places (a context of the class unseen or seen), and for spelling (six bytes unseen or seen).
+START = (np.array([[0.9, 0.0], [0.2, 0.8]], np.float32), np.array([[0.4, 0.5, 0.35, 0.0], [0.3, 0.4, 0.25, 0.3]], np.float32))
 RATE = 0.02
 _END_HASH = np.uint64(0x5851F42D4C957F2D)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -128,14 +128,14 @@ class Vocabulary:
         place = np.empty(len(hashes), np.int64)
         place[order] = np.arange(len(hashes)) - ((1 << size[order]) - 1)
         by_hash = np.argsort(hashes)
-        self.hashes, self.size, self.place = hashes[by_hash], size[by_hash].astype(np.int8), place[by_hash].astype(np.int32)
+        self.hashes, self.size, self.place, self.kind = hashes[by_hash], size[by_hash].astype(np.int8), place[by_hash].astype(np.int32), kinds[by_hash].astype(np.int32)
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each hash has a place, its size and bits."""
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each hash has a place, its size and bits, and the word's commonest class."""
         if not len(self.hashes):
-            return np.zeros(len(h), bool), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+            return np.zeros(len(h), bool), *(np.zeros(len(h), np.int64) for _ in range(3))
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return self.hashes[at] == h, self.size[at].astype(np.int64), self.place[at].astype(np.int64)
+        return self.hashes[at] == h, self.size[at].astype(np.int64), self.place[at].astype(np.int64), self.kind[at]
 
 
 def _runs(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,25 +152,30 @@ def _bin(context: np.ndarray) -> np.ndarray:
     return (mix(context) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
 
 
-def _placed(kind: np.ndarray, size: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Decisions of words with a place: how many of each word, the bins of each (none: -1), and the bits."""
-    n = 6 + size
+class Decisions:
+    """A run of binary decisions for each word: how many, and of each its bins in the tables (none: -1) and its bit."""
+
+    def __init__(self, n: np.ndarray, bins: list[np.ndarray], bit: np.ndarray) -> None:
+        self.n, self.begin, self.bins, self.bit = n, np.cumsum(n) - n, bins, bit
+
+
+def placed(kind: np.ndarray, known: np.ndarray, size: np.ndarray, place: np.ndarray) -> Decisions:
+    """Whether each word has a place and, if so, the five bits of its size and those of the place."""
+    n = np.where(known, 6 + size, 1)
     word, step = _runs(n)
-    b, at = size[word], place[word]
-    depth = step - 6
+    b, depth = size[word], step - 6
     deep = depth >= 0
     left = np.where(deep, b - depth, 6 - step)  # bits from this one on
-    source = np.where(deep, at, b | 32)  # the first decision is the 1 before the five bits of the size
-    bit = ((source >> (left - 1)) & 1).astype(np.uint8)
+    source = np.where(deep, place[word], b | 32)  # before the size comes a 1
+    bit = ((source >> (left - 1)) & known[word]).astype(np.uint8)
     node = (np.where(deep, b + 1, 0) << 40 | step << 32 | source >> left).astype(np.uint64)
-    alone = _bin(node)
-    classed = np.where(depth <= CLASS_DEPTH, _bin(node + (kind[word].astype(np.uint64) + np.uint64(1)) * _CLASS), _NONE)
-    none = np.full(len(node), _NONE)
-    return n, [alone, classed, none, none], bit
+    classed = _bin(node + (kind[word].astype(np.uint64) + np.uint64(1)) * _CLASS)
+    classed[depth > CLASS_DEPTH] = _NONE
+    return Decisions(n, [_bin(node), classed], bit)
 
 
-def _spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray, code) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Decisions of other words: the one that says so, then their bytes."""
+def spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray, code) -> Decisions:
+    """The bytes of words, and the terminator of each."""
     is_end = raw[start] == END
     word, place = _runs(end - start + ~is_end)
     symbol = raw[np.minimum(start[word] + place, len(raw) - 1)]
@@ -185,45 +190,17 @@ def _spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarr
     k = kind.astype(np.uint64)[word] + np.uint64(1)
     contexts = [back[3] | np.uint64(1 << 60), back[2] + k * _CLASS, back[1] + k * _ODD, back[5] | np.uint64(3 << 60)]
     length, node, bit = code
-    first = place == 0
-    n = length[symbol] + first
-    at, step = _runs(n)
-    step -= first[at]
-    says = step < 0
+    at, step = _runs(length[symbol])
     own = symbol[at]
-    nodes = (node[own, np.maximum(step, 0)] + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    bins = [np.where(says, _NONE, _bin(mix(c)[at] + nodes)) for c in contexts]
-    zero = np.zeros(1, np.uint64)
-    bins[0][says] = _bin(zero)[0]
-    bins[1][says] = _bin(zero + k[at[says]] * _CLASS)
-    total = np.bincount(word, weights=n, minlength=len(start)).astype(np.int64)
-    return total, bins, np.where(says, 0, bit[own, np.maximum(step, 0)]).astype(np.uint8)
-
-
-def decisions(raw, start, end, kind, h, code, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Of each word, where its decisions begin and how many there are; of each decision its bins, bit and whether it spells."""
-    known, size, place = vocabulary.find(h)
-    a, b = np.flatnonzero(known), np.flatnonzero(~known)
-    n0, bins0, bit0 = _placed(kind[a], size[a], place[a])
-    n1, bins1, bit1 = _spelled(raw, start[b], end[b], kind[b], code)
-    n = np.empty(len(h), np.int64)
-    n[a], n[b] = n0, n1
-    begin = np.empty(len(h), np.int64)
-    both = np.concatenate([n0, n1])
-    begin[np.concatenate([a, b])] = np.cumsum(both) - both
-    spells = np.zeros(len(bit0) + len(bit1), bool)
-    spells[len(bit0) :] = True
-    if len(bit1):
-        firsts = len(bit0) + np.cumsum(n1) - n1
-        spells[firsts] = False
-    return begin, n, [np.concatenate(x) for x in zip(bins0, bins1, strict=True)], np.concatenate([bit0, bit1]), spells
+    nodes = (node[own, step] + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    return Decisions(np.bincount(word, weights=length[symbol], minlength=len(start)).astype(np.int64), [((mix(c).take(at) + nodes) * _ODD >> np.uint64(64 - TABLE_BITS)).astype(np.int32) for c in contexts], bit[own, step])
 
 
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, kind, word, n) of the texts of a partition, summed within some MB of text."""
     for batch in batches:
         raw, offsets = text_bytes(batch.column(0))
-        for i, j in slices(offsets, 4 * BLOCK):
+        for i, j in slices(offsets, BLOCK):
             t = Tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             first, _, count = t.distinct()
             data, at = t.raw, t.start[first]
@@ -232,6 +209,7 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = data[np.repeat(at - place[:-1], size) + np.arange(place[-1])]
             word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(place.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(t.hash[first].view(np.int64)), pa.array(t.kind[first].astype(np.int32)), word, pa.array(count.astype(np.int64))], names=["hash", "kind", "word", "n"])
+    trim()
 
 
 def _joined(word: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,35 +227,36 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"byte": pa.array(np.arange(256), pa.int32()), "n": total.astype(np.int64)})
 
 
+def _enter(sums: np.ndarray, d: Decisions, n: np.ndarray) -> None:
+    weight = np.repeat(n.astype(np.float64), d.n)
+    for m, bins in enumerate(d.bins):
+        at = bins.astype(np.int64) * 2 + d.bit
+        if (bins < 0).any():
+            seen = bins >= 0
+            np.add.at(sums[m], at[seen], weight[seen])
+        else:
+            np.add.at(sums[m], at, weight)
+
+
 def _tabled(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, vocabulary = shared.value
         size = 1 << TABLE_BITS
-        sums = np.zeros((MODELS, 2, size))
+        sums = np.zeros((MODELS, 2 * size))
         for batch in batches:
             raw, start, end = _joined(batch.column(1))
             kind, n, h = batch.column(0).to_numpy(), batch.column(2).to_numpy().astype(np.float64), batch.column(3).to_numpy().view(np.uint64)
             for i in range(0, len(n), 20_000):
                 own = slice(i, i + 20_000)
-                begin, bits, bins, bit, _ = decisions(raw, start[own], end[own], kind[own], h[own], code, vocabulary)
-                order = np.argsort(begin, kind="stable")
-                weight = np.repeat(n[own][order], bits[order])
-                for m in range(MODELS):
-                    for b in (0, 1):
-                        chosen = (bit == b) & (bins[m] >= 0)
-                        np.add.at(sums[m, b], bins[m][chosen], weight[chosen])
-                # how frequent words are spelled says how new ones are: each counts once there
-                known = np.flatnonzero(vocabulary.find(h[own])[0] & (h[own] != _END_HASH))
-                count, bins, bit = _spelled(raw, start[own][known], end[own][known], kind[own][known], code)
-                inner = np.ones(len(bit), bool)
-                inner[np.cumsum(count) - count] = False
-                for m in range(MODELS):
-                    for b in (0, 1):
-                        np.add.at(sums[m, b], bins[m][(bit == b) & inner], 1)
+                known, place_bits, place, commonest = vocabulary.find(h[own])
+                _enter(sums, placed(kind[own], known, place_bits, place), n[own])
+                # how frequent words are spelled says how new ones are: each counts once there, in its commonest class
+                use = np.flatnonzero(~known | ((commonest == kind[own]) & (h[own] != _END_HASH)))
+                _enter(sums, spelled(raw, start[own][use], end[own][use], kind[own][use], code), np.where(known[use], 1, n[own][use]))
         cut = 1 << SLICE_BITS
         for m in range(MODELS):
             for k in range(0, size, cut):
-                part = sums[m, :, k : k + cut]
+                part = sums[m, 2 * k : 2 * (k + cut)]
                 if part.any():
                     yield pa.RecordBatch.from_pydict({"model": pa.array([m], pa.int32()), "part": pa.array([k // cut], pa.int32()), "counts": pa.array([part.astype(np.int64).tobytes()], pa.binary())})
 
@@ -285,8 +264,8 @@ def _tabled(shared):
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()).reshape(2, -1)
-    odds = np.log((total[1] + 0.4) / (total[0] + 0.4))
+    total = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()).reshape(-1, 2)
+    odds = np.log((total[:, 1] + 0.4) / (total[:, 0] + 0.4))
     inputs = np.clip(np.rint(odds * SCALE), -127, 127).astype(np.int8)
     return pa.table({"model": table.column("model")[:1], "part": table.column("part")[:1], "inputs": pa.array([inputs.tobytes()], pa.binary())})
 
@@ -301,50 +280,97 @@ class Model:
         if not len(self.hashes):
             return np.zeros(len(h), np.int64)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.counts[at], 0)
+        return np.where(self.hashes[at] == h, self.counts[at].astype(np.int64), 0)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1) / (self.tokens + self.distinct + 1))
 
     def costs(self, t: Tokens, first: np.ndarray, inverse: np.ndarray, rows: int) -> np.ndarray:
         """Natural-log cost of each row under the mixed predictors."""
-        begin, bits, bins, bit, spells = decisions(t.raw, t.start[first], t.end[first], t.kind[first], t.hash[first], self.code, self.vocabulary)
-        inputs = np.stack([np.where(x >= 0, self.tables[m][x], np.int8(0)) for m, x in enumerate(bins)], axis=1)
-        gate = np.where(spells, 2 + (inputs[:, 3] != 0), inputs[:, 1] != 0).astype(np.uint8)
-        flags = bit | (gate << 1)
-        inputs = inputs.view(np.uint32).ravel()
+        kind, h = t.kind[first], t.hash[first]
+        known, size, place, _ = self.vocabulary.find(h)
+        others = np.flatnonzero(~known)
+        places = _Mixer(lambda i: placed(kind[i], known[i], size[i], place[i]), len(h), self.tables, START[0], 1, rows)
+        start, end = t.start[first][others], t.end[first][others]
+        spelling = _Mixer(lambda i: spelled(t.raw, start[i], end[i], kind[others[i]], self.code), len(others), self.tables, START[1], 3, rows)
+        other = np.full(len(h), -1)
+        other[others] = np.arange(len(others))
         order = np.argsort(t.chunk, kind="stable")
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(t.chunk[order])) + 1, [len(order)]])
-        weights = np.tile(START, (rows, 1))
         out = np.zeros(rows)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             own = order[a:b]
-            word = inverse[own]
-            n = bits[word]
-            at = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            x = inputs[at].view(np.int8).reshape(-1, MODELS).astype(np.float32) * np.float32(1 / SCALE)
-            f = flags[at]
-            rows_here, local = np.unique(t.row[own], return_inverse=True)
-            slot = np.repeat(local * 4, n) + (f >> 1)
-            w = weights.reshape(rows, 4, MODELS)[rows_here].reshape(-1, MODELS)
-            sign = (f & 1).astype(np.float32) * 2 - 1
-            e = np.exp(np.clip(-sign * np.einsum("ij,ij->i", x, w[slot]), -30, 30))
-            cost = np.log1p(e)
-            out[rows_here] += np.bincount(slot >> 2, weights=cost, minlength=len(rows_here))
-            err = sign * (e / (1 + e))
-            seen = np.bincount(slot, minlength=len(w))
-            step = np.stack([np.bincount(slot, weights=err * x[:, m], minlength=len(w)) for m in range(MODELS)], axis=1)
-            w = w + (RATE * step / np.sqrt(seen + 1)[:, None]).astype(np.float32)
-            weights.reshape(rows, 4, MODELS)[rows_here] = w.reshape(-1, 4, MODELS)
+            word, row = inverse[own], t.row[own]
+            places.code(word, row, out)
+            word = other[word]
+            if (word >= 0).any():
+                spelling.code(word[word >= 0], row[word >= 0], out)
         return out
 
 
+class _Mixer:
+    """Decisions with the inputs of their predictors, signed by their bits, and weights of each row by gate: whether input `by` is seen."""
+
+    #: Words whose decisions are worked out at once.
+    STEP = 16_384
+
+    def __init__(self, of, words: int, tables: np.ndarray, start: np.ndarray, by: int, rows: int) -> None:
+        parts = [self._inputs(of(np.arange(i, min(words, i + self.STEP))), tables) for i in range(0, words, self.STEP)]
+        none = np.zeros(0, np.float32)
+        self.n = np.concatenate([n for n, _ in parts]) if parts else np.zeros(0, np.int64)
+        self.begin = np.cumsum(self.n) - self.n
+        self.inputs = [np.concatenate([x[m] for _, x in parts]) if parts else none for m in range(start.shape[1])]
+        self.gate = self.inputs[by] != 0
+        self.weights = np.tile(start, (rows, 1, 1))
+
+    @staticmethod
+    def _inputs(d: Decisions, tables: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        sign = (d.bit.astype(np.float32) * 2 - 1) * np.float32(1 / SCALE)
+        inputs = []
+        for m, bins in enumerate(d.bins):
+            x = tables[m][bins]
+            if m == 1:
+                x[bins < 0] = 0
+            inputs.append(x * sign)
+        return d.n, inputs
+
+    def code(self, word: np.ndarray, row: np.ndarray, out: np.ndarray) -> None:
+        """Add the cost of these words to their rows (ascending), then move the rows' weights along its gradient."""
+        n = self.n[word]
+        at = np.repeat(self.begin[word] - (np.cumsum(n) - n), n)
+        at += np.arange(len(at))
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        here, begin = row[first], (np.cumsum(n) - n)[first]  # rows, and where their decisions begin
+        size = np.diff(np.append(begin, len(at)))
+        gate = self.gate.take(at).astype(np.int64)
+        weights = self.weights[here]
+        slot = np.repeat(np.arange(0, 2 * len(here), 2), size)
+        slot += gate
+        x = [i.take(at) for i in self.inputs]
+        z = x[0] * weights[:, :, 0].ravel().take(slot)
+        for m in range(1, len(x)):
+            z += x[m] * weights[:, :, m].ravel().take(slot)
+        e = np.exp(np.minimum(-z, np.float32(60)))
+        more = 1 + e
+        out[here] += np.add.reduceat(np.log(more), begin)
+        e /= more
+        seen = np.add.reduceat(gate, begin)
+        step = (RATE / np.sqrt(np.stack([size - seen, seen], axis=1) + 1)).astype(np.float32)
+        e_seen = e * gate.astype(np.float32)
+        for m, i in enumerate(x):
+            with_seen = np.add.reduceat(e_seen * i, begin)
+            weights[:, 1, m] += step[:, 1] * with_seen
+            weights[:, 0, m] += step[:, 0] * (np.add.reduceat(e * i, begin) - with_seen)
+        self.weights[here] = weights
+
+
 def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) -> tuple[Model, DataFrame]:
     """The model of these texts (one string column), and the (hash, n) of all their tokens."""
     spark = texts.sparkSession
     gathered = scratch.keep(texts.mapInArrow(_counting, "hash long, kind int, word binary, n long").groupBy("word", "kind").agg(F.first("hash").alias("hash"), F.sum("n").alias("n")), "words")
-    counts = gathered.groupBy("hash").agg(F.sum("n").alias("n"))
-    tokens, distinct, rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).crossJoin(gathered.agg(F.count("*"))).first()
+    counts = scratch.keep(gathered.groupBy("hash").agg(F.sum("n").alias("n"), F.max_by("kind", F.struct("n", "kind")).alias("kind")), "counts")
+    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    rows = gathered.count()
     histogram = gathered.select("word", "n").mapInArrow(_byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     by_byte = np.zeros(256, np.int64)
     for r in histogram:
@@ -358,7 +384,7 @@ def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) ->
         if held > VOCABULARY:
             least = r["n"] + 1
             break
-    top = gathered.groupBy("hash").agg(F.sum("n").alias("n"), F.max_by("kind", F.struct("n", "kind")).alias("kind")).where(F.col("n") >= least).toArrow()
+    top = counts.where(F.col("n") >= least).toArrow()
     vocabulary = Vocabulary(top.column("hash").to_numpy().view(np.uint64), top.column("n").to_numpy(), top.column("kind").to_numpy())
     shared = spark.sparkContext.broadcast((code, vocabulary))
     dealt = gathered.select("kind", "word", "n", "hash").repartition(max(1, -(-rows // ROWS_PER_TABLE)))
@@ -367,10 +393,10 @@ def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) ->
         tables[r["model"], r["part"] << SLICE_BITS : (r["part"] + 1) << SLICE_BITS] = np.frombuffer(r["inputs"], np.int8)
     hashes = known = None
     if distinct <= known_words:
-        held = counts.toArrow()
+        held = counts.select("hash", "n").toArrow()
         hashes, known = held.column("hash").to_numpy().view(np.uint64), held.column("n").to_numpy()
         order = np.argsort(hashes)
-        hashes, known = hashes[order], known[order]
+        hashes, known = hashes[order], known[order].astype(np.uint32 if known.max(initial=0) < 1 << 32 else np.int64)
     return Model(code, vocabulary, tables, int(tokens), int(distinct), hashes, known), counts
 
 
@@ -399,6 +425,7 @@ def _scoring(shared):
                     none = lambda kind, k=len(u): pa.nulls(k, kind)
                     yield pa.RecordBatch.from_pydict({"row": base + u["r"], "doc_id": none(pa.int64()), "held_out": none(pa.bool_()), "n_tokens": none(pa.int64()), "n_known": none(pa.int64()), "n_bytes": none(pa.int64()), "base_score": none(pa.float64()), "score": none(pa.float64()), "hash": u["h"].view(np.int64), "n": count.astype(np.int64)})
                 base += n
+        trim()
 
     return run
 
@@ -415,7 +442,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(held_out_col).alias("held_out"), text).mapInArrow(_scoring(shared), SCHEMA)
     if model.hashes is None:
         rows = scratch.keep(rows, "scored")
-        found = rows.where("hash is not null").select("row", "hash", F.col("n").alias("times")).join(counts, "hash", "left")
+        found = rows.where("hash is not null").select("row", "hash", F.col("n").alias("times")).join(counts.select("hash", "n"), "hash", "left")
         c = F.coalesce("n", F.lit(0))
         base = found.groupBy("row").agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"), F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(model.tokens + model.distinct + 1)))).alias("base_score"))
         rows = rows.where("hash is null").drop("n_known", "base_score").join(base, "row")
