@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.functions import rational
+from cadenza.shipping import ship
 
 # The media suffixes of an inventory, and the bytes read at either end of a file for its digest.
 SUFFIXES = (".mp4", ".mov", ".mkv", ".avi", ".m4v")
@@ -43,11 +44,11 @@ def digest_bytes(content: bytes) -> str:
 
 def edge_digest(content: Column) -> Column:
     """digest_bytes of a binary column; null for null. There is no BLAKE2b in Spark SQL, so this is an Arrow UDF."""
-    digest = digest_bytes
+    ship(SparkSession.active())
 
     @F.pandas_udf(T.StringType())
     def run(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else digest(bytes(v)))
+        return values.map(lambda v: None if v is None else digest_bytes(bytes(v)))
 
     return run(content)
 
@@ -72,6 +73,7 @@ def probed(files: DataFrame, json_col: str) -> DataFrame:
 
 def probe_with(files: DataFrame, run: Callable[[str], str], path_col: str = "path") -> DataFrame:
     """files with probe_json from an injected probe, which runs on the executors; its exceptions become null."""
+    ship(files.sparkSession)
 
     @F.pandas_udf(T.StringType())
     def call(paths: pd.Series) -> pd.Series:
