@@ -34,6 +34,8 @@ BLOCK = 256
 MARKERS = (("system", "system|instructions?|context"), ("user", "user|human|customer|question|q"), ("assistant", "assistant|ai|bot|agent|answer|a"))
 MARKER_LINE = r"(?mi)^[ \t]*(?:#{1,4}[ \t]*|<\|?|\[|\*{1,2})?(?:" + "|".join(m for _, m in MARKERS) + r")(?:\|?>|\]|\*{1,2})?[ \t]*:[ \t]*"
 SCALE = 1_000_000
+#: Turns that each role's own marker counts as seen with it before training, so that markers speak even where labelled text has none.
+MARKER_PRIOR = 100
 FEATURES = ("marker", "size", "lines", "asks", "opens")
 SCHEMA = "conv_id long, turn long, part int, role_pred string"
 
@@ -82,6 +84,9 @@ def learn(rows: DataFrame) -> Model:
     counts = known.select("role", stacked).groupBy("role", "x.feature", "x.value").agg(F.count("*").alias("n")).collect()
     for f in FEATURES:
         of = {(r["role"], r["value"]): r["n"] for r in counts if r["feature"] == f}
+        if f == "marker":
+            for role in ROLES:
+                of[role, role] = of.get((role, role), 0) + MARKER_PRIOR
         values = sorted({v for _, v in of})
         totals = {role: sum(of.get((role, v), 0) for v in values) for role in ROLES}
         emit[f] = {v: [_log(of.get((role, v), 0), totals[role], len(values) + 1) for role in ROLES] for v in values}
