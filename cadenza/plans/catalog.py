@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from cadenza.functions import probability, rational
 from cadenza.operators import catalog, intervals, ranking
 from cadenza.plans._registry import FRAMES, frames, query, table
+from cadenza.sources import columns, manifests
+from cadenza.storage import Scratch
 
 # --- snapshots, reuse, projections
 
@@ -401,3 +403,44 @@ def a29(spark, sf_dir):
     return _validated(spark, sf_dir).groupBy(F.coalesce("error", F.lit("ok")).alias("outcome")).agg(F.count("*").alias("sources"))
 
 
+
+
+# --- sinks, written to the shared folder and read back
+
+
+@query("s01_file_scan")
+def s01(spark, sf_dir):
+    from cadenza.sources.files import scan
+
+    return scan(spark, sf_dir, [""], (".parquet",)).select("relative_path", "bytes")
+
+
+def _written(spark, name: str):
+    return Scratch(spark, "sinks").path(name)
+
+
+@query("s09_json_sink", "SELECT n_nationkey, n_name FROM nation")
+def s09(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    manifests.write_json_document(rows, path := _written(spark, "document"))
+    return manifests.read_items(spark, path, rows.schema)
+
+
+@query("s10_csv_sink", "SELECT s_suppkey, s_name FROM supplier")
+def s10(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    manifests.write_csv(rows, path := _written(spark, "csv"))
+    return spark.read.schema("s_suppkey long, s_name string").option("header", True).csv(path)
+
+
+@query("s11_json_lines_sink", "SELECT event_id, event_type FROM events")
+def s11(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    manifests.write_json_lines(rows, path := _written(spark, "lines"))
+    return spark.read.schema(rows.schema).json(path)
+
+
+@query("s07_frames_parquet", f"WITH {FRAMES} SELECT source_id, idx, event_id FROM frames")
+def s07(spark, sf_dir):
+    columns.write_frames(frames(spark, sf_dir).select("source_id", "idx", "event_id", "value"), path := _written(spark, "frames"))
+    return spark.read.parquet(path).select("source_id", "idx", "event_id")
