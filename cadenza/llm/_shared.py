@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import os
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+
+from cadenza.shipping import ship
+from cadenza.storage import Scratch, shared_dir
+
+__all__ = ["LOWER", "SPACE", "Scratch", "mix", "sequence_bytes", "shared_dir", "ship", "slices", "text_bytes", "trim", "word_hashes", "words"]
 
 #: The bytes of `[\x20\x09-\x0D]`, which separate words.
 SPACE = np.zeros(256, bool)
@@ -21,68 +21,6 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, once for each application, so that functions pickled by name load there."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="cadenza-"), "cadenza_sources.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own if it is unset on a local master."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            return known.get()
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="cadenza-shared-")
-        spark.sparkContext.setCheckpointDir(where)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return where
-
-
-class Scratch:
-    """Tables of one operator call in the shared folder; drop() removes those that are no longer read."""
-
-    def __init__(self, spark: SparkSession, label: str) -> None:
-        ship(spark)
-        self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/cadenza-{label}-{uuid.uuid4().hex[:12]}"
-        self._path("").getFileSystem(self._hadoop()).deleteOnExit(self._path(""))
-
-    def _hadoop(self):
-        return self.spark._jsc.hadoopConfiguration()
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df as Parquet and read it back: the lineage ends there, and a lost executor costs nothing."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            self._path(name).getFileSystem(self._hadoop()).delete(self._path(name), True)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, and offsets of its rows (one more than rows). Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

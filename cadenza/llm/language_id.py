@@ -147,7 +147,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 _CHANCE = 4.0
 
 
-def _predict(model: Model | None, text_col: str, schema: pa.Schema):
+def _predict(model: Model | None, text_col: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(batch.schema.get_field_index(text_col))
@@ -163,18 +163,18 @@ def _predict(model: Model | None, text_col: str, schema: pa.Schema):
                 langs[at] = np.array(model.langs, object)[best]
                 e = np.exp(_CHANCE * (f - f.max(axis=1, keepdims=True)))
                 score[at] = (e / e.sum(axis=1, keepdims=True))[np.arange(len(own)), best]
-            rest = [batch.column(k) for k, f in enumerate(batch.schema) if f.name not in ("lang_pred", "score")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(langs, pa.string()), pa.array(score)], names=schema)
+            rest = [batch.column(k) for k, f in enumerate(batch.schema) if f.name not in names[-2:]]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(langs, pa.string()), pa.array(score)], names=names)
 
     return run
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred (a learned language, or `und`) and score (0 to 1: the normalised margin of the winner)."""
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+    """docs with the predicted language (a learned one, or `und`) and its score (0 to 1: the normalised margin of the winner)."""
     ship(docs.sparkSession)
-    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    out = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(_predict(model, text_col, [f.name for f in out.fields]), out)
+    fields = [f for f in docs.schema.fields if f.name not in (lang_out, score_out)]
+    out = T.StructType([*fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
+    return docs.mapInArrow(_predict(model, text_col, out.fieldNames()), out)
 
 
 def held_out(id_col: Column, parts: int, rest: int) -> Column:
