@@ -14,7 +14,9 @@ are all written; texts of any length are one record each; an empty table gives a
 
 from __future__ import annotations
 
+import array
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -147,12 +149,12 @@ class WordCache(dict):
     case; the library's model encodes them directly, once each. Every other chunk goes through the whole tokenizer.
     """
 
-    MOST, MOST_CHARS = 400_000, 48
+    MOST, MOST_PARTS, MOST_CHARS = 400_000, 600_000, 48
 
     def __init__(self, path: str, width: int) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_file(path), f"<u{width}"
+        self.tokenizer, self.kind, self.code = Tokenizer.from_file(path), f"<u{width}", {2: "H", 4: "I"}[width]
         self.model = self.tokenizer.model
         self.simple = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)").fullmatch
         self.mapped = {c: "".join(map(byte_characters().__getitem__, chr(c).encode())) for c in range(33, 256)}
@@ -169,12 +171,15 @@ class WordCache(dict):
         return ids
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        packed = array.array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _part(self, piece: str) -> bytes:
         ids = self.parts.get(piece)
         if ids is None:
-            ids = self._packed([t.id for t in self.model.tokenize(piece.translate(self.mapped))])
+            ids = self._packed([t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.mapped))])
             if len(piece) <= self.MOST_CHARS:
                 self.parts[piece] = ids
         return ids
@@ -182,7 +187,7 @@ class WordCache(dict):
     def encode(self, text: str) -> bytes:
         if len(self) > self.MOST:
             self.clear()
-        if len(self.parts) > self.MOST:
+        if len(self.parts) > self.MOST_PARTS:
             self.parts = {"": b""}
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
