@@ -3,9 +3,9 @@
 Lengths are gathered into one global histogram. A dynamic program over it chooses up to BUCKETS boundaries so that
 padding every document to the boundary of its bucket costs the least; boundaries lie on a grid that is exact up to
 2 * 2**GRID lengths and keeps GRID leading bits beyond, so that the histogram on the driver has a few thousand rows whatever
-the input. Inside a bucket documents are taken in the order of a hash and fill batches of budget // boundary places.
-Positions in a bucket come from row numbers in small parts of it and the sizes of the parts before, so no bucket, however
-large, is numbered by one task.
+the input. Inside a bucket documents are taken in the order of the MD5 of their ids and fill batches of budget // boundary places.
+Positions in a bucket come from row numbers in small parts of it (those whose MD5 begins alike) and the sizes of the parts
+before, so no bucket, however large, is numbered by one task, and the result doesn't depend on the parts.
 
 Nulls and edges: a null text has the length of its end alone, 1; a document longer than the budget is a batch of its
 own, whole; null ids and repeated rows are packed like others; an empty table gives an empty result; input columns
@@ -81,10 +81,12 @@ def pack(lengths: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens
     for k, b in reversed(list(enumerate(chosen))):
         bucket = F.when(F.col(length_col) <= b, F.lit(k)).otherwise(bucket)
         padded = F.when(F.col(length_col) <= b, F.lit(b).cast("long")).otherwise(padded)
-    h = F.xxhash64(F.col(id_col).cast("string"))
-    parts = max(1, -(-int(counts.sum()) // ROWS_PER_PART))
+    h = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    digits, n = 0, int(counts.sum())
+    while n > ROWS_PER_PART * 16**digits:
+        digits += 1
     rest = [c for c in lengths.columns if c not in RESULT]
-    rows = lengths.select(*rest, bucket.alias("bucket"), padded.alias("padded"), h.alias("__h"), F.pmod(h, F.lit(parts)).alias("__part"))
+    rows = lengths.select(*rest, bucket.alias("bucket"), padded.alias("padded"), h.alias("__h"), F.substring(h, 1, digits).alias("__part"))
     part_sizes = rows.groupBy("bucket", "__part").agg(F.count("*").alias("n"))
     before = part_sizes.withColumn("__before", F.sum("n").over(W.partitionBy("bucket").orderBy("__part").rowsBetween(W.unboundedPreceding, -1))).select(F.col("bucket").alias("__b"), F.col("__part").alias("__p"), F.coalesce("__before", F.lit(0)).alias("__before"))
     numbered = rows.withColumn("__r", F.row_number().over(W.partitionBy("bucket", "__part").orderBy("__h", id_col, length_col)))
@@ -108,5 +110,26 @@ def op3_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+def _sql() -> str:
+    """The same as SQL: the histogram, one step of the program for each bucket more, the cuts traced back, and places by row number."""
+    steps = ["b1 AS (SELECT j, v * t - l AS cost, 0 AS cut FROM g)"]
+    for k in range(2, BUCKETS + 1):
+        steps.append(f"""m{k} AS (SELECT g.j, min(o.cost + g.v * (g.t - i.t) - (g.l - i.l)) AS cost, arg_min(i.j, (o.cost + g.v * (g.t - i.t) - (g.l - i.l)) * 100000 + i.j) AS cut FROM g JOIN g0 i ON i.j < g.j JOIN (SELECT j, cost FROM b{k - 1} UNION ALL SELECT 0, 0) o ON o.j = i.j GROUP BY g.j),
+b{k} AS (SELECT j, CASE WHEN m.cost < o.cost THEN m.cost ELSE o.cost END AS cost, CASE WHEN m.cost < o.cost THEN m.cut ELSE -1 END AS cut FROM m{k} m JOIN b{k - 1} o USING (j))""")
+    trace = [f"e{BUCKETS + 1} AS (SELECT max(j) AS spot, CAST(NULL AS BIGINT) AS taken FROM g)"]
+    for k in range(BUCKETS, 0, -1):
+        trace.append(f"e{k} AS (SELECT CASE WHEN b.cut >= 0 THEN b.cut ELSE e.spot END AS spot, CASE WHEN b.cut >= 0 THEN e.spot END AS taken FROM e{k + 1} e JOIN b{k} b ON b.j = e.spot)")
+    taken = " UNION ALL ".join(f"SELECT taken FROM e{k}" for k in range(1, BUCKETS + 1))
+    step = f"(1 << greatest(0, length(bin(n_tokens)) - 1 - {GRID}))"
+    return rf"""WITH d AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS n_tokens FROM documents),
+h AS (SELECT CAST((n_tokens + {step} - 1) // {step} * {step} AS BIGINT) AS v, count(*) AS n, sum(n_tokens) AS s FROM d GROUP BY ALL),
+g AS (SELECT row_number() OVER (ORDER BY v) AS j, v, CAST(sum(n) OVER (ORDER BY v) AS BIGINT) AS t, CAST(sum(s) OVER (ORDER BY v) AS BIGINT) AS l FROM h),
+g0 AS (SELECT j, t, l FROM g UNION ALL SELECT 0, 0, 0),
+{", ".join(steps)}, {", ".join(trace)},
+c AS (SELECT g.v AS padded, CAST(row_number() OVER (ORDER BY g.v) - 1 AS INT) AS bucket, lag(g.v, 1, 0) OVER (ORDER BY g.v) AS above FROM ({taken}) x JOIN g ON g.j = x.taken),
+p AS (SELECT d.*, bucket, padded, row_number() OVER (PARTITION BY bucket ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, n_tokens) - 1 AS spot, greatest(1, {BUDGET} // padded) AS room FROM d JOIN c ON d.n_tokens > above AND d.n_tokens <= padded)
+SELECT doc_id, CAST(n_tokens AS BIGINT) AS n_tokens, bucket, padded, CAST(spot // room AS BIGINT) AS batch, CAST(spot % room AS INT) AS slot FROM p"""
+
+
 QUERIES = {"op3_length_packing": op3_length_packing}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op3_length_packing": _sql()}
