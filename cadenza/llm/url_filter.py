@@ -117,5 +117,31 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def _sql(order: int = ORDER) -> str:
+    """The same as SQL, one pair of tables for each order of the models."""
+    fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{}}{h + p}'" for _, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2])))
+    rule, verdicts = fits.replace("{}", ""), " ".join(f"WHEN '{h + p}' THEN '{v}'" for v, h, p in RULES)
+    tables, joins, a, r = [], [], f"{1 / ALPHABET!r}", f"{1 / ALPHABET!r}"
+    for k in range(order + 1):
+        tables.append(f"e{k} AS (SELECT substr(gram, {order + 1 - k}, {k + 1}) AS e, sum(a) AS a, sum(r) AS r FROM c GROUP BY 1), t{k} AS (SELECT substr(e, 1, {k}) AS x, sum(a) AS a, sum(r) AS r FROM e{k} GROUP BY 1)")
+        joins.append(f"JOIN e{k} ON e{k}.e = substr(c.gram, {order + 1 - k}, {k + 1}) JOIN t{k} ON t{k}.x = substr(c.gram, {order + 1 - k}, {k})")
+        a, r = f"((e{k}.a + {LOWER_ORDER} * {a}) / (t{k}.a + {LOWER_ORDER}))", f"((e{k}.r + {LOWER_ORDER} * {r}) / (t{k}.r + {LOWER_ORDER}))"
+    return f"""WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM u),
+s AS (SELECT page_id, translate(raw, '{UPPER_AZ}', '{LOWER_AZ}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+w AS (SELECT *, CASE {rule} END AS rule, translate(host || path, '123456789', '000000000') AS s FROM s),
+l AS (SELECT *, CASE rule {verdicts} END AS label FROM w),
+x AS (SELECT s, label, count(*) AS n FROM l WHERE s <> '' GROUP BY ALL),
+g AS (SELECT s, label, n, substr(repeat(chr(2), {order}) || s, CAST(unnest(range(1, length(s) + 1)) AS INT), {order + 1}) AS gram FROM x),
+c AS (SELECT gram, CAST(sum(CASE WHEN label = 'allow' THEN n ELSE 0 END) AS DOUBLE) AS a, CAST(sum(CASE WHEN label = 'block' THEN n ELSE 0 END) AS DOUBLE) AS r FROM g GROUP BY gram),
+{", ".join(tables)},
+q AS (SELECT c.gram, ln({r}) - ln({a}) AS ratio FROM c {" ".join(joins)}),
+z AS (SELECT d.s, round(sum(round(q.ratio, 9)) / count(*), 3) AS score FROM (SELECT DISTINCT s FROM x) d, LATERAL (SELECT substr(repeat(chr(2), {order}) || d.s, CAST(unnest(range(1, length(d.s) + 1)) AS INT), {order + 1}) AS gram) y JOIN q ON q.gram = y.gram GROUP BY d.s),
+b AS (SELECT score, count(*) FILTER (WHERE label = 'block') AS r, count(*) FILTER (WHERE label = 'allow') AS a FROM x JOIN z USING (s) WHERE label IS NOT NULL GROUP BY score),
+m AS (SELECT score, (sum(r) OVER () - sum(r) OVER o) / sum(r) OVER () + sum(a) OVER o / sum(a) OVER () AS balance, sum(r) OVER () AS rs, sum(a) OVER () AS asum FROM b WINDOW o AS (ORDER BY score)),
+k AS (SELECT score AS threshold FROM m WHERE rs > 0 AND asum > 0 ORDER BY balance DESC, score DESC LIMIT 1)
+SELECT page_id, host, path, rule, coalesce(label, CASE WHEN z.score > (SELECT threshold FROM k) THEN 'block' ELSE 'allow' END) AS verdict, z.score FROM l LEFT JOIN z USING (s)"""
+
+
 QUERIES = {"op8_url_filter": op8_url_filter}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_url_filter": _sql()}
