@@ -26,8 +26,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_id.learn(docs)
     if model is None:  # no labelled text to learn from: nothing can be told apart, nothing is rejected
         return docs
-    judged = language_id.predict(docs, model)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    judged = language_id.predict(docs, model, lang_out="__lang", score_out="__score")
+    return judged.where((F.col("__lang") != "und") & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
