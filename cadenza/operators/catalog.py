@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from cadenza.operators.numbering import numbered
 
 
 def stable(after: DataFrame, before: DataFrame, key: str, fields: list[str], out: str = "stable") -> DataFrame:
@@ -103,7 +104,7 @@ def sparse_pivot(rows: DataFrame, group: str, kind: str, kinds: list[str], amoun
     return rows.groupBy(group).agg(*cells)
 
 
-def batches_by(rows: DataFrame, shape: list[str], order: str, size: int) -> DataFrame:
-    """rows with batch: consecutive groups of `size` rows of the same shape."""
-    n = F.row_number().over(W.partitionBy(*shape).orderBy(order)) - 1
-    return rows.withColumn("batch", F.floor(n / size).cast("long"))
+def batches_by(rows: DataFrame, shape: list[str], order: str, size: int, part_rows: int = 4096) -> DataFrame:
+    """rows with batch: consecutive groups of `size` rows of the same shape, in the order of a whole-number column."""
+    out = numbered(rows, shape, F.floor(F.col(order) / part_rows), [order], "__n")
+    return out.withColumn("batch", F.floor((F.col("__n") - 1) / size).cast("long")).drop("__n")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from cadenza.functions import clip, finite, half_even
+from cadenza.operators.numbering import numbered
 
 
 def median(x: Column) -> Column:
@@ -51,8 +51,11 @@ def closeness(terms: list[tuple[Column, float]]) -> Column:
     return F.coalesce(F.try_divide(total, known), F.lit(0.0))
 
 
-def ranked(segments: DataFrame, partition: list[str], score: str = "score", source: str = "source_id", start: str = "target_start_s", end: str = "target_end_s") -> DataFrame:
-    """segments with rank (score descending, then source and start) and a segment_id from source and milliseconds."""
-    order = W.partitionBy(*partition).orderBy(F.desc(score), source, start)
+def ranked(segments: DataFrame, partition: list[str], score: str = "score", source: str = "source_id", start: str = "target_start_s", end: str = "target_end_s", bin_width: float = 0.01) -> DataFrame:
+    """segments with rank (score descending, then source and start) and a segment_id from source and milliseconds.
+
+    Segments are ranked inside bins of the score, so that no task holds all segments of a profile.
+    """
     name = F.format_string("%s_%010d_%010d", F.col(source).cast("string"), half_even(F.col(start) * 1000), half_even(F.col(end) * 1000))
-    return segments.withColumn("rank", F.row_number().over(order).cast("long")).withColumn("segment_id", name)
+    out = numbered(segments, partition, -F.floor(F.col(score) / bin_width), [F.desc(score), source, start], "rank")
+    return out.withColumn("segment_id", name)

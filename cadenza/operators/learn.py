@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cadenza.functions import finite
+from cadenza.operators.numbering import numbered
+
+#: Ranges of values that cumulative sums are cut into.
+PARTS = 1024
 
 
 def confusion(rows: DataFrame, expected: Column, predicted: Column, by: list[str] | None = None) -> DataFrame:
@@ -30,8 +34,17 @@ def best_upper_threshold(rows: DataFrame, value: str, positive: str, by: list[st
     by = by or []
     known = rows.where(finite(F.col(value)).isNotNull())
     by_value = known.groupBy(*by, F.col(value).alias("__x")).agg(F.count_if(F.col(positive)).alias("__p"), F.count_if(~F.col(positive)).alias("__n"))
-    up, whole = W.partitionBy(*by).orderBy("__x"), W.partitionBy(*by)
-    sums = by_value.select(*by, "__x", F.lead("__x").over(up).alias("__next"), F.sum("__p").over(up).alias("__tp"), F.sum("__n").over(up).alias("__fp"), F.sum("__p").over(whole).alias("__ps"), F.sum("__n").over(whole).alias("__ns"))
+    # PARTS ranges of values: sums run inside each, and start from those of the ranges before
+    whole = W.partitionBy(*by)
+    span = by_value.groupBy(*by).agg(F.min("__x").alias("__low"), F.max("__x").alias("__high"), F.sum("__p").alias("__ps"), F.sum("__n").alias("__ns"))
+    ranged = (by_value.join(span, by) if by else by_value.crossJoin(F.broadcast(span))).withColumn("__part", F.floor(F.coalesce(F.try_divide((F.col("__x") - F.col("__low")) * (PARTS - 1), F.col("__high") - F.col("__low")), F.lit(0.0))))
+    parts = ranged.groupBy(*by, "__part").agg(F.min("__x").alias("__first"), F.sum("__p").alias("__pp"), F.sum("__n").alias("__pn"))
+    along = whole.orderBy("__part")
+    before = lambda c: F.coalesce(F.sum(c).over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select(*by, "__part", F.lead("__first").over(along).alias("__after"), before("__pp").alias("__p0"), before("__pn").alias("__n0"))
+    up = W.partitionBy(*by, "__part").orderBy("__x")
+    inside = ranged.join(starts, [*by, "__part"])
+    sums = inside.select(*by, "__x", "__ps", "__ns", F.coalesce(F.lead("__x").over(up), F.col("__after")).alias("__next"), (F.col("__p0") + F.sum("__p").over(up)).alias("__tp"), (F.col("__n0") + F.sum("__n").over(up)).alias("__fp"))
     scored = sums.withColumn("threshold", F.when((F.col("__ps") > 0) & (F.col("__ns") > 0), (F.col("__x") + F.col("__next")) / 2.0))
     accuracy = balanced_accuracy(F.col("__ns") - F.col("__fp"), F.col("__fp"), F.col("__ps") - F.col("__tp"), F.col("__tp"))
     scored = scored.withColumn("balanced_accuracy", F.when(F.col("threshold").isNotNull(), F.round(accuracy, 12)))
@@ -39,10 +52,10 @@ def best_upper_threshold(rows: DataFrame, value: str, positive: str, by: list[st
     return scored.groupBy(*by).agg(best.alias("b")).select(*by, "b.threshold", "b.balanced_accuracy")
 
 
-def stratified_folds(rows: DataFrame, label: str, order: list, folds: int) -> DataFrame:
-    """rows with fold: round-robin within each label, in a fixed order. Folds are even and the same on every run."""
-    n = F.row_number().over(W.partitionBy(label).orderBy(*order)) - 1
-    return rows.withColumn("fold", (n % folds).cast("int"))
+def stratified_folds(rows: DataFrame, label: str, order: str, folds: int, part_rows: int = 4096) -> DataFrame:
+    """rows with fold: round-robin within each label, in the order of a whole-number column. Folds are even and the same on every run."""
+    out = numbered(rows, [label], F.floor(F.col(order) / part_rows), [order], "__n")
+    return out.withColumn("fold", ((F.col("__n") - 1) % folds).cast("int")).drop("__n")
 
 
 def cross_validated(rows: DataFrame, value: str, positive: str, folds: int) -> DataFrame:

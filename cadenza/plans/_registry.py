@@ -52,7 +52,7 @@ FRAMES = "frames AS (SELECT user_id AS source_id, row_number() OVER (PARTITION B
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    idx = (F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("long")
+    events = table(spark, sf_dir, "events").withColumnRenamed("user_id", "source_id")
+    idx = (F.row_number().over(W.partitionBy("source_id").orderBy("ts", "event_id")) - 1).cast("long")
     measured = [F.expr(f"CAST({e} AS DOUBLE)").alias(n) for n, e in MEASURES.items()]
-    return events.select(F.col("user_id").alias("source_id"), idx.alias("idx"), "event_id", "value", "event_type", (F.col("event_type") != "error").alias("face_detected"), *measured)
+    return events.select("source_id", idx.alias("idx"), "event_id", "value", "event_type", (F.col("event_type") != "error").alias("face_detected"), *measured)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import clock, html_escape
 from cadenza.operators import catalog, learn, ranking
+from cadenza.operators.numbering import numbered
 from cadenza.plans._registry import FRAMES, frames, query, table
 
 LABELLED = "labelled AS (SELECT d.doc_id, d.source, d.n_chars, l.quality = 1 AS positive, l.toxic FROM documents d JOIN labels l USING (doc_id))"
@@ -47,12 +48,12 @@ FOLDED = f"{LABELLED}, folded AS (SELECT *, CAST((row_number() OVER (PARTITION B
 
 @query("a20_stratified_folds", f"WITH {FOLDED} SELECT doc_id, positive, fold FROM folded")
 def a20(spark, sf_dir):
-    return learn.stratified_folds(_labelled(spark, sf_dir), "positive", ["doc_id"], 5).select("doc_id", "positive", "fold")
+    return learn.stratified_folds(_labelled(spark, sf_dir), "positive", "doc_id", 5).select("doc_id", "positive", "fold")
 
 
 @query("a21_cross_validation", f"WITH {FOLDED}, train AS (SELECT k.fold AS test_fold, f.n_chars, f.positive FROM folded f, (VALUES (0), (1), (2), (3), (4)) k(fold) WHERE f.fold <> k.fold), fitted AS (SELECT * FROM {_threshold_sql('train', 'test_fold')}) SELECT f.fold, CAST(t.threshold AS DOUBLE) AS threshold, count(*) FILTER (WHERE NOT positive AND n_chars > threshold) AS tn, count(*) FILTER (WHERE NOT positive AND n_chars <= threshold) AS fp, count(*) FILTER (WHERE positive AND n_chars > threshold) AS fn, count(*) FILTER (WHERE positive AND n_chars <= threshold) AS tp FROM folded f JOIN fitted t ON t.test_fold = f.fold GROUP BY f.fold, t.threshold")
 def a21(spark, sf_dir):
-    folded = learn.stratified_folds(_labelled(spark, sf_dir), "positive", ["doc_id"], 5)
+    folded = learn.stratified_folds(_labelled(spark, sf_dir), "positive", "doc_id", 5)
     return learn.cross_validated(folded, "n_chars", "positive", 5)
 
 
@@ -101,10 +102,14 @@ def a16(spark, sf_dir):
 
 @query("o04_review_queue", f"WITH {CLASSES} SELECT doc_id, row_number() OVER (ORDER BY abs(coalesce(distance, 0)), doc_id) AS place FROM classes WHERE classification = 'review'")
 def o04(spark, sf_dir):
-    from pyspark.sql import Window
+    queue = _classes(spark, sf_dir).where("classification = 'review'")
+    distance = F.abs(F.coalesce("distance", F.lit(0)))
+    return numbered(queue, ["classification"], F.floor(distance / 10), [distance, "doc_id"], "place").select("doc_id", "place")
 
-    queue = ranking.review_order(_classes(spark, sf_dir).where("classification = 'review'"), "boundary", "doc_id")
-    return queue.select("doc_id", F.row_number().over(Window.orderBy(F.abs(F.coalesce("distance", F.lit(0))), "doc_id")).cast("long").alias("place"))
+
+@query("o04_review_order", f"WITH {CLASSES} SELECT doc_id, distance FROM classes WHERE classification = 'review'")
+def o04_order(spark, sf_dir):
+    return ranking.review_order(_classes(spark, sf_dir).where("classification = 'review'"), "boundary", "doc_id").select("doc_id", "distance")
 
 
 @query("p19_review_filter", f"WITH {CLASSES} SELECT doc_id, coalesce(decision, 'pending') AS decision FROM classes WHERE contains(lower(source), 'src1')")

@@ -8,7 +8,9 @@ from pyspark.sql import Window as W
 
 from cadenza.functions import holds
 from cadenza.operators import intervals, masks, timeline, traces
+from cadenza.operators.numbering import numbered
 from cadenza.plans._registry import FRAMES, frames, query, table
+from cadenza.storage import Scratch
 
 SOURCES = "sources AS (SELECT user_id AS source_id, count(*) AS n FROM events GROUP BY user_id)"
 TARGETS = "targets AS (SELECT source_id, n, unnest(generate_series(0, CAST(floor((n - 1) * 24.0 / 30.0) AS BIGINT))) AS target_idx FROM sources)"
@@ -300,14 +302,14 @@ SELECT *, row_number() OVER (ORDER BY score DESC, source_id, start_index) AS ran
 
 @query("segmentation", WHOLE)
 def segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain on one partitioning by source: one shuffle and one sort serve all windows up to the runs."""
+    """The whole chain on one partitioning by source: one shuffle serves all windows and the aggregation of the intervals."""
     rows = traces.rolling_quantiles(_breaks(spark, sf_dir), "source_id", "value", 9, {"trend": 0.5}, 3)
     rows = rows.withColumn("jump", F.col("hard_break") & (F.col("value") > 250))
     rows = masks.dilate(rows, "source_id", "jump", 1, "cut")
     rows = rows.withColumn("v", holds(F.col("face_detected") & (F.col("trend") < 90)) & ~F.col("cut"))
     rows = masks.fill_gaps(rows, "source_id", "v", "cut", 1, "ok").select("source_id", "idx", "value", "face_detected", "v", "ok")
-    pieces = masks.split_runs(masks.true_runs(rows, "source_id", "ok"), 6, 10, 16)
-    of = intervals.tag_intervals(rows, pieces, "source_id").groupBy("source_id", "start_index", "end_index_exclusive")
+    of = masks.tag_pieces(rows, "source_id", "ok", 6, 10, 16).groupBy("source_id", "start_index", "end_index_exclusive")
     middle = F.percentile("value", 0.5)
     out = of.agg(F.count("*").alias("frames"), F.round(middle, 6).alias("median_value"), F.round(F.percentile("value", 0.95), 6).alias("p95_value"), F.round(intervals.ratio(F.col("face_detected")), 6).alias("face_coverage"), F.round(100.0 * intervals.ratio(F.col("v")) - middle / 10.0, 6).alias("score"))
-    return out.withColumn("rank", F.row_number().over(W.orderBy(F.desc("score"), "source_id", "start_index")).cast("long"))
+    out = Scratch(spark, "segments").keep(out, "segments")  # read twice for the ranks
+    return numbered(out, [], -F.floor("score"), [F.desc("score"), "source_id", "start_index"], "rank")

@@ -2,9 +2,11 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza import functions as own
+from cadenza.operators.numbering import numbered
 from cadenza.operators import catalog, geometry, intervals, learn, masks, ranking, schedule, timeline, traces
 
 
@@ -104,6 +106,24 @@ def test_split_tiles_runs(spark):
         masks.split_runs(runs, 300, 200, 400)
 
 
+def test_rows_tagged_with_pieces_equal_the_joined_form(spark):
+    rng = np.random.RandomState(6)
+    values = np.repeat(rng.rand(60) < 0.7, rng.randint(1, 40, 60)).tolist()
+    df = line(spark, values)
+    for lengths in ((4, 6, 9), (6, 10, 16), (5, 5, 5)):
+        pieces = masks.split_runs(masks.true_runs(df, "k", "v"), *lengths)
+        joined = intervals.tag_intervals(df, pieces, "k")
+        form = lambda t: sorted(map(tuple, t.select("idx", "start_index", "end_index_exclusive").collect()))
+        assert form(masks.tag_pieces(df, "k", "v", *lengths)) == form(joined)
+
+
+def test_numbering_is_that_of_one_window(spark):
+    rows = spark.range(1000).selectExpr("id", "id % 3 as g", "cast(pmod(id * 7919, 101) as double) as x").withColumn("x", F.when(F.col("id") % 50 != 0, F.col("x")))
+    got = numbered(rows, ["g"], F.floor(F.col("x") / 10), ["x", "id"], "n")
+    want = rows.withColumn("n", F.row_number().over(W.partitionBy("g").orderBy("x", "id")))
+    assert sorted(map(tuple, got.select("id", "n").collect())) == sorted(map(tuple, want.select("id", "n").collect()))
+
+
 def test_threshold(spark):
     df = spark.createDataFrame([(1.0, True), (2.0, True), (8.0, False), (9.0, False), (float("nan"), True)], "x double, p boolean")
     row = learn.best_upper_threshold(df, "x", "p").first()
