@@ -83,6 +83,10 @@ def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return size, node, bit
 
 
+def _pair_code(h: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return h ^ mix(kind.astype(np.uint64) + np.uint64(1))
+
+
 class Tokens:
     """The tokens of some rows, in order, the end of each row last: spans in raw, hash, row, class and chunk."""
 
@@ -112,7 +116,7 @@ class Tokens:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First place, inverse and count of each (word, class)."""
-        code = self.hash ^ mix(self.kind.astype(np.uint64) + np.uint64(1))
+        code = _pair_code(self.hash, self.kind)
         _, first, inverse, count = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
         return first, inverse, count
 
@@ -197,18 +201,26 @@ def spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarra
 
 
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hash, kind, word, n) of the texts of a partition, summed within some MB of text."""
+    """(hash, kind, word, n) of texts: counted in blocks, then summed over the blocks of an Arrow batch."""
     for batch in batches:
         raw, offsets = text_bytes(batch.column(0))
+        parts = []
         for i, j in slices(offsets, BLOCK):
             t = Tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             first, _, count = t.distinct()
-            data, at = t.raw, t.start[first]
-            size = t.end[first] - at
-            place = np.concatenate([[0], np.cumsum(size)])
-            flat = data[np.repeat(at - place[:-1], size) + np.arange(place[-1])]
-            word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(place.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(t.hash[first].view(np.int64)), pa.array(t.kind[first].astype(np.int32)), word, pa.array(count.astype(np.int64))], names=["hash", "kind", "word", "n"])
+            size = t.end[first] - t.start[first]
+            word, place = _runs(size)
+            parts.append((t.hash[first], t.kind[first].astype(np.int32), count, size, t.raw[t.start[first][word] + place]))
+        if not parts:
+            continue
+        h, kind, count, size, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
+        _, first, inverse = np.unique(_pair_code(h, kind), return_index=True, return_inverse=True)
+        word, place = _runs(size[first])
+        flat = flat[(np.cumsum(size) - size)[first][word] + place]
+        ends = np.concatenate([[0], np.cumsum(size[first])]).astype(np.int64)
+        words_ = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
+        n = np.bincount(inverse, weights=count).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(kind[first]), words_, pa.array(n)], names=["hash", "kind", "word", "n"])
     trim()
 
 
