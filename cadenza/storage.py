@@ -31,6 +31,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         ship(spark)
         self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/cadenza-{label}-{uuid.uuid4().hex[:12]}"
+        self.root = self._path("").getFileSystem(self._hadoop()).makeQualified(self._path("")).toString()  # readers other than Spark know no default file system
         self._path("").getFileSystem(self._hadoop()).deleteOnExit(self._path(""))
 
     def _hadoop(self):
