@@ -16,7 +16,8 @@ probability of a text is the product over its decisions.
 
 Training reads all training texts: (word, class) counts are gathered over the whole corpus and entered into the
 tables, partition by partition, and the tables are summed. What is broadcast is the quantised tables and the
-vocabulary, of fixed size, and, for the unigram base score, the counts of up to KNOWN_WORDS distinct words; with more words, the counts are
+vocabulary, of fixed size, and, for the unigram base score, the counts of up to KNOWN_WORDS distinct words; with more
+words, the counts are
 joined by shuffle instead, to the same result.
 
 Nulls and edges: a null text is an empty one and has the end only; null ids are not held out; a text of any length is
@@ -35,14 +36,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm._shared import _T, LOWER, Scratch, _powers, mix, slices, text_bytes, trim, word_hashes, words
+from cadenza.llm._shared import LOWER, Scratch, mix, slices, text_bytes, trim, word_hashes, words
 from cadenza.llm.language_id import held_out
 
 CHUNK, SHORT, CLASSES = 48, 3, 256
 TABLE_BITS, SLICE_BITS, MODELS = 21, 16, 4
 SCALE = 12.0
 BLOCK = 2 << 20
-KNOWN_WORDS = 8_000_000
+KNOWN_WORDS = 5_000_000
 #: (word, class) rows of one partial table.
 ROWS_PER_TABLE = 1_500_000
 TERMINATOR, END = 32, 10
