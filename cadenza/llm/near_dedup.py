@@ -92,13 +92,14 @@ def _signing(size: int, coordinates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, raw, offsets in sequence_bytes(batch, "text"):
+                n = j - i
                 sets = shingle_sets(raw, offsets, size)
                 full = np.array([len(x) > 0 for x in sets], bool)
                 keys, values = signatures([x for x in sets if len(x)], coordinates)
                 place = np.cumsum(full) - 1
                 ends = np.concatenate([[0], np.cumsum(full * coordinates)]).astype(np.int32)
-                key = pa.array(keys[place] if len(keys) else np.zeros(j - i, np.int64), pa.int64(), mask=~full)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), key, pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))], names=["doc_id", "n_shingles", "key", "posts"])
+                key = pa.array(keys[place] if len(keys) else np.zeros(n, np.int64), pa.int64(), mask=~full)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), batch.column(2).slice(i, n), pa.array([len(x) for x in sets], pa.int64()), key, pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))], names=["doc_id", "text_hash", "n_shingles", "key", "posts"])
         trim()
 
     return run
@@ -252,12 +253,12 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
 
 
 def _signed(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size: int, coordinates: int) -> DataFrame:
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return scratch.keep(texts.mapInArrow(_signing(size, coordinates), "doc_id long, n_shingles long, key long, posts array<long>"), "signed")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return scratch.keep(texts.mapInArrow(_signing(size, coordinates), "doc_id long, text_hash long, n_shingles long, key long, posts array<long>"), "signed")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES, scratch: Scratch | None = None) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id (smallest id that links reach), kept, key (of its set)."""
+    """One row for each document: doc_id, n_shingles, component_id (smallest id that links reach), kept, key (of its set), text_hash."""
     scratch = scratch or Scratch(docs.sparkSession, "near")
     signed = _signed(docs, scratch, id_col, text_col, size, coordinates)
     classes = scratch.keep(signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("posts").alias("posts")), "classes")
@@ -282,9 +283,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = least.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"), "doc_id")
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
     least = rooted.select("key", "root").join(ids, "root").select("key", "doc_id")
-    named = signed.select("doc_id", "n_shingles", "key").join(least.select("key", F.col("doc_id").alias("first_id")), "key", "left")
+    named = signed.select("doc_id", "text_hash", "n_shingles", "key").join(least.select("key", F.col("doc_id").alias("first_id")), "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
-    out = named.select("doc_id", "n_shingles", component.alias("component_id"), "key").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = named.select("doc_id", "n_shingles", component.alias("component_id"), "key", "text_hash").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = scratch.keep(out, "result")
     scratch.drop("signed", "classes", "met", "sets")
     return out
@@ -293,16 +294,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs without near duplicates: of each component the document with the smallest id stays, once."""
     found = near_duplicates(docs, id_col, text_col, size, percent)
-    of_id = F.col(id_col).cast("long")
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    rest = docs.join(_few(gone), of_id == F.col("__gone"), "left_anti")
-    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__again"))
+    # a row is named by its id and text, as an id may have several texts
+    same = (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash"))
+    rows = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.first("kept").alias("kept"), F.count("*").alias("n"))
+    gone, again = rows.where("not kept").select("__id", "__hash"), rows.where("kept and n > 1").select("__id", "__hash")
+    rest = docs.join(_few(gone), same, "left_anti")
     if not again.limit(1).count():
         return rest
-    # ids of several rows: their rows are settled among themselves, by id and text
-    once = docs.join(_few(again), of_id == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])
-    mine = once.join(_few(gone), of_id == F.col("__gone"), "left_anti")
-    return rest.join(_few(again), of_id == F.col("__again"), "left_anti").unionByName(mine)
+    once = docs.join(_few(again), same, "left_semi").dropDuplicates([id_col, text_col])
+    return rest.join(_few(again), same, "left_anti").unionByName(once)
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,6 +82,12 @@ def test_empty_table(spark):
     assert near_dedup.drop_near_duplicates(empty(spark)).count() == 0
 
 
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b), (3, None), (3, None)], "doc_id long, text string")
+    assert sorted(near_dedup.drop_near_duplicates(df).collect(), key=repr) == sorted([(1, a), (2, b), (3, None)], key=repr)
+
+
 def test_drop_keeps_one_row_of_each_group_with_its_columns(spark):
     df = frame(spark, clash=True)
     got = near_dedup.drop_near_duplicates(df)
