@@ -1,11 +1,11 @@
 """Language-model scores by online logistic context mixing.
 
 A text is its lower-cased words and one end, and every token is a run of binary decisions: whether it is one of the
-VOCABULARY most frequent training words (those met twice or more); if so, the bits of its place in their order, a
-5-bit size and then as many bits; if not, its bytes and a terminator, each byte a path through one prefix code. The
-probability of a text is the product over its decisions.
+training words met twice or more; if so, the bits of its place in the order of their counts, a 5-bit size and then as
+many bits; if not, its bytes and a terminator, each byte a path through one prefix code. The probability of a text is
+the product over its decisions.
 
-* Predictors: four tables of 2**TABLE_BITS bins hold how often each bit followed a hashed context in training. In the
+* Predictors: four tables, each with a bin or more for every (word, class) counted, hold how often each bit followed a hashed context in training. In the
   order of words: the bits so far, alone and with the class of the passage. In a spelled word: the last four and six
   bytes, and the last two and three with that class. A bin's input is the log-odds of its counts, near 0 where it has
   seen little. The class is a hash of the most frequent short word among the CHUNK words before; it stands for
@@ -15,10 +15,10 @@ probability of a text is the product over its decisions.
   each CHUNK of words, each set moves along the gradient of the coding cost. All texts of a block advance together.
 
 Training reads all training texts: (word, class) counts are gathered over the whole corpus and entered into the
-tables, partition by partition, and the tables are summed. What is broadcast is the quantised tables and the
-vocabulary, of fixed size, and, for the unigram base score, the counts of up to KNOWN_WORDS distinct words; with more
-words, the counts are
-joined by shuffle instead, to the same result.
+tables, partition by partition, and the bins that were met are summed. What is broadcast is the quantised tables and
+the vocabulary, which grow with the counted rows (four bytes or more for each) and with the words met twice (17 bytes
+each), and, for the unigram base score, the counts of up to KNOWN_WORDS distinct words; with more words, the counts
+are joined by shuffle instead, to the same result.
 
 Nulls and edges: a null text is an empty one and has the end only; null ids are not held out; a text of any length is
 scored whole; repeated rows are each scored; with no training text every input is 0; an empty table gives an empty
@@ -40,15 +40,14 @@ from cadenza.llm._shared import LOWER, Scratch, mix, slices, text_bytes, trim, w
 from cadenza.llm.language_id import held_out
 
 CHUNK, SHORT, CLASSES = 48, 3, 256
+#: Least bits of a bin, and bits of a slice of a table.
 TABLE_BITS, SLICE_BITS, MODELS = 21, 16, 4
 SCALE = 12.0
 BLOCK = 2 << 20
 KNOWN_WORDS = 5_000_000
-#: (word, class) rows of one partial table.
-ROWS_PER_TABLE = 1_500_000
+#: (word, class) rows entered by one task, and decisions that it holds at once.
+ROWS_PER_TABLE, HELD = 1_500_000, 8 << 20
 TERMINATOR, END = 32, 10
-#: Words that have a place of their own; the others are spelled.
-VOCABULARY = 1 << 20
 #: Bits of a place that see the class; those further on differ little between classes.
 CLASS_DEPTH = 12
 #: Weights at the start of a text: for places (a context of the class unseen or seen), and for spelling (six bytes unseen or seen).
@@ -153,8 +152,13 @@ _CLASS = np.uint64(0xD1B54A32D192ED03)
 _NONE = np.int32(-1)
 
 
-def _bin(context: np.ndarray) -> np.ndarray:
-    return (mix(context) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+def table_bits(rows: int) -> int:
+    """Bits of a bin, for tables with at least as many bins as (word, class) rows."""
+    return max(TABLE_BITS, (rows - 1).bit_length())
+
+
+def _bin(context: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(context) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 class Decisions:
@@ -164,7 +168,7 @@ class Decisions:
         self.n, self.begin, self.bins, self.bit = n, np.cumsum(n) - n, bins, bit
 
 
-def placed(kind: np.ndarray, known: np.ndarray, size: np.ndarray, place: np.ndarray) -> Decisions:
+def placed(kind: np.ndarray, known: np.ndarray, size: np.ndarray, place: np.ndarray, bits: int = TABLE_BITS) -> Decisions:
     """Whether each word has a place and, if so, the five bits of its size and those of the place."""
     n = np.where(known, 6 + size, 1)
     word, step = _runs(n)
@@ -174,12 +178,12 @@ def placed(kind: np.ndarray, known: np.ndarray, size: np.ndarray, place: np.ndar
     source = np.where(deep, place[word], b | 32)  # before the size comes a 1
     bit = ((source >> (left - 1)) & known[word]).astype(np.uint8)
     node = (np.where(deep, b + 1, 0) << 40 | step << 32 | source >> left).astype(np.uint64)
-    classed = _bin(node + (kind[word].astype(np.uint64) + np.uint64(1)) * _CLASS)
+    classed = _bin(node + (kind[word].astype(np.uint64) + np.uint64(1)) * _CLASS, bits)
     classed[depth > CLASS_DEPTH] = _NONE
-    return Decisions(n, [_bin(node), classed], bit)
+    return Decisions(n, [_bin(node, bits), classed], bit)
 
 
-def spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray, code) -> Decisions:
+def spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray, code, bits: int = TABLE_BITS) -> Decisions:
     """The bytes of words, and the terminator of each."""
     is_end = raw[start] == END
     word, place = _runs(end - start + ~is_end)
@@ -198,7 +202,7 @@ def spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarra
     at, step = _runs(length[symbol])
     own = symbol[at]
     nodes = (node[own, step] + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    return Decisions(np.bincount(word, weights=length[symbol], minlength=len(start)).astype(np.int64), [((mix(c).take(at) + nodes) * _ODD >> np.uint64(64 - TABLE_BITS)).astype(np.int32) for c in contexts], bit[own, step])
+    return Decisions(np.bincount(word, weights=length[symbol], minlength=len(start)).astype(np.int64), [((mix(c).take(at) + nodes) * _ODD >> np.uint64(64 - bits)).astype(np.int32) for c in contexts], bit[own, step])
 
 
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,44 +244,79 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"byte": pa.array(np.arange(256), pa.int32()), "n": total.astype(np.int64)})
 
 
-def _enter(sums: np.ndarray, d: Decisions, n: np.ndarray) -> None:
-    weight = np.repeat(n.astype(np.float64), d.n)
-    for m, bins in enumerate(d.bins):
-        at = bins.astype(np.int64) * 2 + d.bit
-        if (bins < 0).any():
-            seen = bins >= 0
-            np.add.at(sums[m], at[seen], weight[seen])
-        else:
-            np.add.at(sums[m], at, weight)
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers with their first bytes first, then the second ones, and so on: mostly zeros, which compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _of_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+class _Counts:
+    """Sums of weights by bin and bit, a list for each table: (2 * bin + bit) above the weight, so that one sort groups them."""
+
+    def __init__(self, bits: int) -> None:
+        self.shift, self.pending, self.held = np.uint64(63 - bits), [[] for _ in range(MODELS)], 0
+
+    def enter(self, d: Decisions, n: np.ndarray) -> None:
+        weight = np.repeat(n.astype(np.uint64), d.n)
+        for m, bins in enumerate(d.bins):
+            seen = slice(None) if m != 1 else bins >= 0
+            x = (bins[seen].astype(np.uint64) << np.uint64(1) | d.bit[seen]) << self.shift | weight[seen]
+            self.pending[m].append(x)
+            self.held += len(x)
+
+    def _sum(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        x = np.sort(np.concatenate(self.pending[m])) if self.pending[m] else np.zeros(0, np.uint64)
+        key = x >> self.shift
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(x) else np.zeros(0, np.int64)
+        weight = x & ((np.uint64(1) << self.shift) - np.uint64(1))
+        return key[first], np.add.reduceat(weight, first) if len(x) else weight
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        """The sums, a row for each slice met: steps between its places, and their counts."""
+        cut = SLICE_BITS + 1
+        for m in range(MODELS):
+            key, total = self._sum(m)
+            self.pending[m] = []
+            part = (key >> np.uint64(cut)).astype(np.int64)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
+            local = (key & np.uint64((1 << cut) - 1)).astype(np.int32)
+            rows = [(m, int(part[i]), _planes(np.diff(local[i:j], prepend=np.int32(0))), _planes(total[i:j].astype(np.int64))) for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            if rows:
+                ms, parts, steps, counts = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ms, pa.int32()), pa.array(parts, pa.int32()), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())], names=["model", "part", "steps", "counts"])
+        self.held = 0
 
 
 def _tabled(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, vocabulary = shared.value
-        size = 1 << TABLE_BITS
-        sums = np.zeros((MODELS, 2 * size))
+        code, vocabulary, bits = shared.value
+        sums = _Counts(bits)
         for batch in batches:
             raw, start, end = _joined(batch.column(1))
-            kind, n, h = batch.column(0).to_numpy(), batch.column(2).to_numpy().astype(np.float64), batch.column(3).to_numpy().view(np.uint64)
+            kind, n, h = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_numpy().view(np.uint64)
             for i in range(0, len(n), 20_000):
                 own = slice(i, i + 20_000)
                 known, place_bits, place, commonest = vocabulary.find(h[own])
-                _enter(sums, placed(kind[own], known, place_bits, place), n[own])
+                sums.enter(placed(kind[own], known, place_bits, place, bits), n[own])
                 # how frequent words are spelled says how new ones are: each counts once there, in its commonest class
                 use = np.flatnonzero(~known | ((commonest == kind[own]) & (h[own] != _END_HASH)))
-                _enter(sums, spelled(raw, start[own][use], end[own][use], kind[own][use], code), np.where(known[use], 1, n[own][use]))
-        cut = 1 << SLICE_BITS
-        for m in range(MODELS):
-            for k in range(0, size, cut):
-                part = sums[m, 2 * k : 2 * (k + cut)]
-                if part.any():
-                    yield pa.RecordBatch.from_pydict({"model": pa.array([m], pa.int32()), "part": pa.array([k // cut], pa.int32()), "counts": pa.array([part.astype(np.int64).tobytes()], pa.binary())})
+                sums.enter(spelled(raw, start[own][use], end[own][use], kind[own][use], code, bits), np.where(known[use], 1, n[own][use]))
+                if sums.held > HELD:
+                    yield from sums.flush()
+        yield from sums.flush()
+        trim()
 
     return run
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()).reshape(-1, 2)
+    total = np.zeros(2 << SLICE_BITS, np.int64)
+    for steps, counts in zip(table.column("steps").to_pylist(), table.column("counts").to_pylist(), strict=True):
+        total[np.cumsum(_of_planes(steps, np.int32))] += _of_planes(counts, np.int64)
+    total = total.reshape(-1, 2)
     odds = np.log((total[:, 1] + 0.4) / (total[:, 0] + 0.4))
     inputs = np.clip(np.rint(odds * SCALE), -127, 127).astype(np.int8)
     return pa.table({"model": table.column("model")[:1], "part": table.column("part")[:1], "inputs": pa.array([inputs.tobytes()], pa.binary())})
@@ -303,9 +342,10 @@ class Model:
         kind, h = t.kind[first], t.hash[first]
         known, size, place, _ = self.vocabulary.find(h)
         others = np.flatnonzero(~known)
-        places = _Mixer(lambda i: placed(kind[i], known[i], size[i], place[i]), len(h), self.tables, START[0], 1, rows)
+        bits = self.tables.shape[1].bit_length() - 1
+        places = _Mixer(lambda i: placed(kind[i], known[i], size[i], place[i], bits), len(h), self.tables, START[0], 1, rows)
         start, end = t.start[first][others], t.end[first][others]
-        spelling = _Mixer(lambda i: spelled(t.raw, start[i], end[i], kind[others[i]], self.code), len(others), self.tables, START[1], 3, rows)
+        spelling = _Mixer(lambda i: spelled(t.raw, start[i], end[i], kind[others[i]], self.code, bits), len(others), self.tables, START[1], 3, rows)
         other = np.full(len(h), -1)
         other[others] = np.arange(len(others))
         order = np.argsort(t.chunk, kind="stable")
@@ -389,19 +429,13 @@ def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) ->
     for r in histogram:
         by_byte[r["byte"]] = r["n"]
     code = prefix_code(by_byte)
-    tables = np.zeros((MODELS, 1 << TABLE_BITS), np.int8)
-    often = counts.where("n > 1").groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n"))  # as many rows as there are different counts
-    least, held = 2, 0
-    for r in often.toLocalIterator():
-        held += r["words"]
-        if held > VOCABULARY:
-            least = r["n"] + 1
-            break
-    top = counts.where(F.col("n") >= least).toArrow()
+    bits = table_bits(rows)
+    tables = np.zeros((MODELS, 1 << bits), np.int8)
+    top = counts.where("n > 1").toArrow()
     vocabulary = Vocabulary(top.column("hash").to_numpy().view(np.uint64), top.column("n").to_numpy(), top.column("kind").to_numpy())
-    shared = spark.sparkContext.broadcast((code, vocabulary))
+    shared = spark.sparkContext.broadcast((code, vocabulary, bits))
     dealt = gathered.select("kind", "word", "n", "hash").repartition(max(1, -(-rows // ROWS_PER_TABLE)))
-    partial = dealt.mapInArrow(_tabled(shared), "model int, part int, counts binary")
+    partial = dealt.mapInArrow(_tabled(shared), "model int, part int, steps binary, counts binary")
     for r in partial.groupBy("model", "part").applyInArrow(_summed, "model int, part int, inputs binary").toLocalIterator():
         tables[r["model"], r["part"] << SLICE_BITS : (r["part"] + 1) << SLICE_BITS] = np.frombuffer(r["inputs"], np.int8)
     hashes = known = None

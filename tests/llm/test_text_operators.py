@@ -236,3 +236,35 @@ def test_scores_beat_the_unigram_on_more_text(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
     row = context_mixing.score_texts(df).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert row.s > row.b
+
+
+def test_every_repeated_word_has_a_place_and_tables_grow(spark):
+    """Words of equal count all have places, however many they are, and tables have a bin for each counted row."""
+    words = [f"w{i}" for i in range(1_100_000)]
+    df = spark.createDataFrame([(" ".join(words[i : i + 1000]),) for i in range(0, len(words), 1000)] * 2, "text string")
+    model, _ = context_mixing.train(df.repartition(8), Scratch(spark, "test"))
+    assert len(model.vocabulary.hashes) == len(words) + 1  # and the end
+    assert model.tables.shape[1] == 1 << context_mixing.table_bits(0) and context_mixing.table_bits((1 << 23) + 1) == 24
+    assert context_mixing.table_bits(1 << 23) == 23
+
+
+def test_counts_do_not_depend_on_when_they_are_sent():
+    rng = np.random.RandomState(4)
+    bits = 22
+    want = np.zeros((context_mixing.MODELS, 2 << bits), np.int64)
+    got = np.zeros_like(want)
+    sums, rows = context_mixing._Counts(bits), []
+    for k in range(6):
+        n = rng.randint(1, 9, 50)
+        bins = [rng.randint(0, 1 << bits, n.sum()).astype(np.int32) % (1 << (8 + 2 * k)) for _ in range(context_mixing.MODELS)]
+        bins[1][::5] = -1
+        weight, bit = rng.randint(1, 1 << 35, 50), rng.randint(0, 2, n.sum()).astype(np.uint8)
+        sums.enter(context_mixing.Decisions(n, bins, bit), weight)
+        for m, b in enumerate(bins):
+            np.add.at(want[m], (b.astype(np.int64) * 2 + bit)[b >= 0], np.repeat(weight, n)[b >= 0])
+        if k % 2:
+            rows += [r for batch in sums.flush() for r in batch.to_pylist()]
+    for r in rows:
+        at = (r["part"] << (context_mixing.SLICE_BITS + 1)) + np.cumsum(context_mixing._of_planes(r["steps"], np.int32))
+        got[r["model"]][at] += context_mixing._of_planes(r["counts"], np.int64)
+    assert (got == want).all()
