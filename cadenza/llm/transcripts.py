@@ -2,7 +2,8 @@
 
 A row is a piece of a conversation: its text may be one turn or a raw transcript. Text is cut into segments before
 each line that opens with a speaker marker (`User:`, `### Assistant`, ...), and every segment gets features of its
-marker, its lines and its length. States are roles; start and transition probabilities and those of the features are
+marker, its lines and its length. A marker ends in a colon, or is a tag or bracket (`<|user|>`, `[user]`), or stands alone
+on its line with text after it; one letter (`q`, `a`) needs the colon or the `<|q|>` form, as it may be a list's label. States are roles; start and transition probabilities and those of the features are
 counted on labelled rows, and Viterbi decoding finds the most probable roles of a whole conversation. Decoding is cut
 into blocks of BLOCK turns: a block is first reduced to a matrix of best scores from each role before it to each role
 at its end; the matrices of a conversation, one small row each, are chained; then the blocks are decoded between the
@@ -32,7 +33,13 @@ ROLES = ("system", "user", "assistant")
 BLOCK = 256
 #: Speaker markers at the start of a line, by the role that they hint at.
 MARKERS = (("system", "system|instructions?|context"), ("user", "user|human|customer|question|q"), ("assistant", "assistant|ai|bot|agent|answer|a"))
-MARKER_LINE = r"(?mi)^[ \t]*(?:#{1,4}[ \t]*|<\|?|\[|\*{1,2})?(?:" + "|".join(m for _, m in MARKERS) + r")(?:\|?>|\]|\*{1,2})?[ \t]*:[ \t]*"
+_ANY = "(?:" + "|".join(m for _, m in MARKERS) + ")"
+_WORD = rf"(?:(?![qa]\b){_ANY})"
+MARKER_LINE = (
+    rf"(?mi)^[ \t]*(?:(?:#{{1,4}}[ \t]*|<\|?|\[|\*{{1,2}})?{_ANY}(?:\|?>|\]|\*{{1,2}})?[ \t]*:"
+    rf"|<\|{_ANY}\|>|<{_WORD}>|\[{_WORD}\](?!\()"
+    rf"|(?:#{{1,4}}[ \t]*{_WORD}|\*{{1,2}}{_WORD}\*{{1,2}}|{_WORD})[ \t]*$(?=\s*\S))[ \t]*"
+)
 SCALE = 1_000_000
 #: Turns that each role's own marker counts as seen with it before training, so that markers speak even where labelled text has none.
 MARKER_PRIOR = 100
@@ -40,15 +47,25 @@ FEATURES = ("marker", "size", "lines", "asks", "opens")
 SCHEMA = "conv_id long, turn long, part int, role_pred string"
 
 
+#: Characters that cutting uses, and what stands for them behind U+0003 meanwhile.
+_ESCAPED = (("\u0003", "c"), ("\u0001", "a"), ("\u0002", "b"))
+
+
 def segments(text: Column) -> Column:
     """Array of struct(marker, body): the text cut before each marker line; without markers one segment."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), MARKER_LINE, "\u0001$0\u0002")
+    safe = F.coalesce(text, F.lit(""))
+    for c, name in _ESCAPED:
+        safe = F.replace(safe, F.lit(c), F.lit("\u0003" + name))
+    marked = F.regexp_replace(safe, MARKER_LINE, "\u0001$0\u0002")
     pieces = F.split(marked, "\u0001", -1)
     pieces = F.filter(pieces, lambda p, i: (i > 0) | (F.trim(p) != "") | (F.size(pieces) == 1))
 
     def cut(p: Column) -> Column:
         has = F.locate("\u0002", p) > 0
-        return F.struct(F.when(has, F.lower(F.substring_index(p, "\u0002", 1))).alias("marker"), F.when(has, F.substring_index(p, "\u0002", -1)).otherwise(p).alias("body"))
+        body = F.when(has, F.substring_index(p, "\u0002", -1)).otherwise(p)
+        for c, name in reversed(_ESCAPED):
+            body = F.replace(body, F.lit("\u0003" + name), F.lit(c))
+        return F.struct(F.when(has, F.lower(F.substring_index(p, "\u0002", 1))).alias("marker"), body.alias("body"))
 
     return F.transform(pieces, cut)
 

@@ -170,3 +170,31 @@ def test_roles_and_rendering(spark, monkeypatch):
 
 def test_no_conversations(spark):
     assert transcripts.parse(conversations(spark).limit(0), Scratch(spark, "test")).count() == 0
+
+
+def test_markers_without_a_colon(spark):
+    texts = {
+        "### User\nHi\n\n### Assistant\nHello\n": ["### user", "### assistant"],
+        "<|user|>\nHi\n<|assistant|> Hello\n<|q|>So?": ["<|user|>", "<|assistant|>", "<|q|>"],
+        "[user] Hi\n[assistant] Hello": ["[user]", "[assistant]"],
+        "**User**\r\nHi\r\n**Assistant**\r\nHello": ["**user**", "**assistant**"],
+        "Human\nHi\nAI\nHello": ["human", "ai"],
+        "Q: Hi\nA: Hello": ["q:", "a:"],
+        "The user\nasked\n# Context of it\n**Answer** the question\n[a] one\n[user](there)\nAnswer": [None],
+        "Agent": [None],
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: [p.marker and p.marker.strip() for p in r.s] for r in df.select("i", transcripts.segments(F.col("text")).alias("s")).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+    rows = df.select(F.col("i").cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit(None).cast("string").alias("role"), "text", F.lit(True).alias("held_out"))
+    roles = {}
+    for r in sorted(transcripts.parse(rows, Scratch(spark, "test")).collect(), key=lambda r: (r.conv_id, r.part)):
+        roles.setdefault(r.conv_id, []).append(r.role_pred)
+    assert all(roles[i][:2] == ["user", "assistant"] for i in range(6))
+
+
+def test_separators_in_the_text_stay(spark):
+    texts = ["User: a\u0002b\u0001c\u0003d\u0003a\u0003ca", "x\u0001y\u0002z", "\u0003b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = [[p.body for p in r.s] for r in df.select("i", transcripts.segments(F.col("text")).alias("s")).orderBy("i").collect()]
+    assert got == [[texts[0][6:]], [texts[1]], [texts[2]]]
