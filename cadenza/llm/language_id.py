@@ -7,9 +7,10 @@ landmark (whitened by the inverse root of the landmarks' own kernel), and one-ve
 on them has a closed solution. A batch of texts is scored by two products of matrices: presence by landmarks,
 then coordinates by weights.
 
-Training uses a bounded sample: TRAIN_PER_LANG texts of each language with the smallest hashes of doc_id, of which
-LANDMARKS_PER_LANG are landmarks. The model (a matrix of LANDMARKS x 2**GRAM_BITS bytes at most) is broadcast; its
-size depends only on these parameters. Every text is scored whole.
+Training uses a bounded sample of every language: TRAIN_PER_LANG texts with the smallest hashes of doc_id, of which
+LANDMARKS_PER_LANG are landmarks; with more than LANDMARKS / LANDMARKS_PER_LANG languages each has fewer, one at least.
+The model (a matrix of 4 x LANDMARKS x 2**GRAM_BITS bytes at most, more only beyond LANDMARKS languages) is broadcast;
+the sample's n-grams are held by the driver and grow with the languages. Every text is scored whole.
 
 Nulls and edges: a null text or one without a letter is `und` with score 0; rows with a null language are never
 learned from; with no labelled row every text is `und`; repeated rows are each scored; result columns replace
@@ -32,7 +33,9 @@ from cadenza.llm._shared import LOWER, sequence_bytes, ship
 
 GRAMS = (2, 3, 4)
 GRAM_BITS = 18
-TRAIN_PER_LANG, LANDMARKS_PER_LANG, MAX_LANGS = 300, 24, 64
+TRAIN_PER_LANG, LANDMARKS_PER_LANG, LANDMARKS = 300, 24, 64 * 24
+#: Texts that fitting takes at once.
+STEP = 1024
 OVERSAMPLE = 4
 RIDGE = 1e-3
 
@@ -89,15 +92,16 @@ class Model:
 
 
 def fit(sets: list[np.ndarray], langs: list[str], ridge: float = RIDGE) -> Model | None:
-    """n-gram sets in a fixed order; the first LANDMARKS_PER_LANG of each language are the landmarks. None without sets."""
+    """n-gram sets in a fixed order; the first of each language (LANDMARKS_PER_LANG, or its share of LANDMARKS) are the landmarks. None without sets."""
     if not sets:
         return None
     names = sorted(set(langs))
+    most = max(1, min(LANDMARKS_PER_LANG, LANDMARKS // len(names)))
     seen: dict[str, int] = dict.fromkeys(names, 0)
     chosen = []
     for i, lang in enumerate(langs):
         seen[lang] += 1
-        if seen[lang] <= LANDMARKS_PER_LANG and len(sets[i]):
+        if seen[lang] <= most and len(sets[i]):
             chosen.append(i)
     if not chosen:
         return None
@@ -105,29 +109,34 @@ def fit(sets: list[np.ndarray], langs: list[str], ridge: float = RIDGE) -> Model
     values, vectors = np.linalg.eigh(model.kernel([sets[i] for i in chosen]))
     keep = values > 1e-8 * values.max()
     model.mapping = vectors[:, keep] / np.sqrt(values[keep])  # Nyström: K_mm to the power -1/2
-    z = model.kernel(sets) @ model.mapping
-    z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
-    target = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    size = np.array([1.0 / langs.count(x) for x in langs])[:, None]  # each language weighs the same
-    model.weights = np.linalg.solve(z.T @ (size * z) + ridge * np.eye(z.shape[1]), z.T @ (size * target))
+    class_of = {lang: k for k, lang in enumerate(names)}
+    own = np.array([class_of[x] for x in langs])
+    share = 1.0 / np.bincount(own)  # each language weighs the same
+    left, right = ridge * np.eye(model.mapping.shape[1] + 1), np.zeros((model.mapping.shape[1] + 1, len(names)))
+    for i in range(0, len(sets), STEP):
+        z = model.kernel(sets[i : i + STEP]) @ model.mapping
+        z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+        of = own[i : i + STEP]
+        target = np.where(of[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
+        size = share[of][:, None]
+        left += z.T @ (size * z)
+        right += z.T @ (size * target)
+    model.weights = np.linalg.solve(left, right)
     return model
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """(lang, grams): n-gram sets of TRAIN_PER_LANG whole texts of each language, those with the smallest hashes, in that order.
 
-    Languages are counted first (at most MAX_LANGS are learned, the most frequent); a cut on the hashes that leaves
-    about OVERSAMPLE times the wanted rows of each then goes before anything is shuffled or sent on.
+    Languages are counted first; a cut on the hashes that leaves about OVERSAMPLE times the wanted rows of each then
+    goes before anything is shuffled or sent on.
     """
     ship(docs.sparkSession)
-    known = docs.where(F.col(lang_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    h = F.xxhash64(F.col(id_col).cast("string"))
-    cut = F.lit(None).cast("long")
-    for row in counts:
-        share = min(1.0, OVERSAMPLE * TRAIN_PER_LANG / row["count"])
-        cut = F.when(F.col(lang_col) == row["lang"], F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))).otherwise(cut)
-    rows = known.where(h <= cut).where(F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), h.alias("h"), F.col(text_col).alias("text"))
+    known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text"))
+    counts = known.groupBy("lang").count().collect()
+    cuts = [(r["lang"], min((1 << 63) - 1, int(-(1 << 63) + min(1.0, OVERSAMPLE * TRAIN_PER_LANG / r["count"]) * (1 << 64)))) for r in counts]
+    cut = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut long"))  # a row for each language
+    rows = known.join(cut, "lang").where(F.col("h") <= F.col("cut")).where(F.col("text").rlike(r"\p{L}")).select("lang", "h", "text")
     sets = rows.mapInArrow(_gram_sets, "lang string, h long, grams binary")
     ranked = sets.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "grams")))
     return ranked.where(F.col("r") <= TRAIN_PER_LANG).orderBy("lang", "r").select("lang", "grams")

@@ -268,3 +268,25 @@ def test_counts_do_not_depend_on_when_they_are_sent():
         at = (r["part"] << (context_mixing.SLICE_BITS + 1)) + np.cumsum(context_mixing._of_planes(r["steps"], np.int32))
         got[r["model"]][at] += context_mixing._of_planes(r["counts"], np.int64)
     assert (got == want).all()
+
+
+# --- languages
+
+
+def test_every_language_is_learned(spark):
+    """70 languages, each with letters of its own: none is left out, the rarest too; landmarks a language shrink."""
+    rng = np.random.RandomState(6)
+    parts = [[chr(0x4E00 + 40 * k + i) for i in range(30)] for k in range(70)]
+    rows = [(1000 * k + i, " ".join("".join(rng.choice(p, 3)) for _ in range(30)), f"l{k:02}") for k, p in enumerate(parts) for i in range(4 if k < 64 else 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(df)
+    assert len(model.langs) == 70 and all(r.lang == r.lang_pred for r in language_id.predict(df, model).collect())
+
+
+def test_landmarks_are_shared_out(monkeypatch):
+    sets = [np.array([k, 10 + k, 20 + i]) for k in range(5) for i in range(8)]
+    langs = [f"l{k}" for k in range(5) for _ in range(8)]
+    for most, want in ((100, 40), (12, 10), (3, 5)):
+        monkeypatch.setattr(language_id, "LANDMARKS", most)
+        model = language_id.fit(sets, langs)
+        assert model.values.shape[1] == want and [model.langs[k] for k in model.scores(sets).argmax(axis=1)] == langs
