@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import probability, rational
 from cadenza.operators import catalog, intervals, ranking
+from cadenza.operators.numbering import numbered
 from cadenza.plans._registry import FRAMES, frames, query, table
 from cadenza.sources import columns, manifests
 from cadenza.storage import Scratch
@@ -320,6 +321,15 @@ def o01(spark, sf_dir):
     return top.select("o_orderkey", F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_custkey", "o_orderkey")).cast("long").alias("place"))
 
 
+@query("o01_multi_key_sort_whole", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_custkey, o_orderkey) AS place FROM orders")
+def o01_whole(spark, sf_dir):
+    """All orders, where o01_multi_key_sort has the first 500."""
+    part = F.coalesce(F.floor(-F.col("o_totalprice")).cast("long"), F.lit((1 << 63) - 1))  # no price comes last
+    order = [F.desc_nulls_last("o_totalprice"), "o_custkey", "o_orderkey"]
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return numbered(rows, [], part, order, "place").select("o_orderkey", "place")
+
+
 @query("o02_sort_by_path", f"WITH {CONTENT} SELECT path, bytes FROM content")
 def o02(spark, sf_dir):
     return _content(spark, sf_dir).orderBy("path").select("path", "bytes")

@@ -216,3 +216,12 @@ def test_suppression_merges_overlaps():
 def test_profiles(spark):
     rows = {r.name: r for r in masks.profiles(spark).collect()}
     assert rows["standard"].max_yaw == 40 and rows["strict"].min_raw_ratio == 0.92 and rows["loose"].min_center_x == -0.05
+
+
+def test_every_order_has_a_place(spark, sf_dir):
+    from cadenza import plans
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").collect()
+    want = [r.o_orderkey for r in sorted(orders, key=lambda r: (-r.o_totalprice, r.o_custkey, r.o_orderkey))]
+    got = [(r.place, r.o_orderkey) for r in plans.queries()["o01_multi_key_sort_whole"](spark, sf_dir).collect()]
+    assert len(want) > 500 and sorted(got) == list(enumerate(want, 1))
