@@ -168,6 +168,22 @@ def j14(spark, sf_dir):
     return grid.groupBy("source_id", "step").agg(F.round(F.percentile(F.abs(F.col("gaze_h") - F.col("slope") * F.col("yaw")), 0.95), 6).alias("p95"))
 
 
+#: The reference's grid (tools/enrich_camera_gaze.py:87); a23_slope_search and j14_slope_grid are coarser.
+SLOPES = 1001
+
+
+@query("a23_slope_search_whole", f"WITH {FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 1000) AS slope FROM generate_series(0, 1000) t(i)), s AS (SELECT step, slope, source_id, quantile_cont(abs(gaze_h - slope * yaw), 0.95) AS p95 FROM frames, g GROUP BY ALL), l AS (SELECT step, slope, round(quantile_cont(p95, 0.5), 9) AS loss FROM s GROUP BY step, slope) SELECT step, round(slope, 6) AS slope, round(loss, 6) AS loss FROM l ORDER BY l.loss, l.step LIMIT 1")
+def a23_whole(spark, sf_dir):
+    best = learn.slope_search(frames(spark, sf_dir), "source_id", "gaze_h", "yaw", -0.008, 0.002, SLOPES)
+    return best.select("step", F.round("slope", 6).alias("slope"), F.round("loss", 6).alias("loss"))
+
+
+@query("j14_slope_grid_whole", f"WITH {FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 1000) AS slope FROM generate_series(0, 1000) t(i)) SELECT source_id, step, round(quantile_cont(abs(gaze_h - slope * yaw), 0.95), 9) AS p95 FROM frames, g GROUP BY source_id, step, slope")
+def j14_whole(spark, sf_dir):
+    grid = frames(spark, sf_dir).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(SLOPES - 1)))).withColumn("slope", F.lit(-0.008) + F.col("step") * F.lit(0.010 / (SLOPES - 1)))
+    return grid.groupBy("source_id", "step").agg(F.round(F.percentile(F.abs(F.col("gaze_h") - F.col("slope") * F.col("yaw")), 0.95), 9).alias("p95"))
+
+
 @query("a24_vertical_reference", f"WITH {GAZE} SELECT round(quantile_cont(p95_v, 0.95), 6) AS reference FROM gaze")
 def a24(spark, sf_dir):
     return _gaze(spark, sf_dir).agg(F.round(F.percentile("p95_v", 0.95), 6).alias("reference"))

@@ -225,3 +225,17 @@ def test_every_order_has_a_place(spark, sf_dir):
     want = [r.o_orderkey for r in sorted(orders, key=lambda r: (-r.o_totalprice, r.o_custkey, r.o_orderkey))]
     got = [(r.place, r.o_orderkey) for r in plans.queries()["o01_multi_key_sort_whole"](spark, sf_dir).collect()]
     assert len(want) > 500 and sorted(got) == list(enumerate(want, 1))
+
+
+def test_slopes_of_the_reference_against_brute_force(spark, sf_dir):
+    from cadenza import plans
+    from cadenza.plans._registry import frames
+
+    rows = frames(spark, sf_dir).select("source_id", "gaze_h", "yaw").toPandas()
+    slopes = -0.008 + np.arange(1001) * ((0.002 - -0.008) / 1000)
+    p95 = np.stack([np.quantile(np.abs(g.gaze_h.to_numpy()[:, None] - slopes[None, :] * g.yaw.to_numpy()[:, None]), 0.95, axis=0) for _, g in rows.groupby("source_id")])
+    loss = np.round(np.median(p95, axis=0), 9)
+    best = plans.queries()["a23_slope_search_whole"](spark, sf_dir).first()
+    assert (best.step, best.slope, best.loss) == (loss.argmin(), round(slopes[loss.argmin()], 6), round(loss.min(), 6))
+    grid = plans.queries()["j14_slope_grid_whole"](spark, sf_dir)
+    assert grid.count() == 1001 * rows.source_id.nunique()
