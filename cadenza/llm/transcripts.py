@@ -4,16 +4,20 @@ A row is a piece of a conversation: its text may be one turn or a raw transcript
 each line that opens with a speaker marker (`User:`, `### Assistant`, ...), and every segment gets features of its
 marker, its lines and its length. A marker ends in a colon, or is a tag or bracket (`<|user|>`, `[user]`), or stands alone
 on its line with text after it; one letter (`q`, `a`) needs the colon or the `<|q|>` form, as it may be a list's label. States are roles; start and transition probabilities and those of the features are
-counted on labelled rows, and Viterbi decoding finds the most probable roles of a whole conversation. Decoding is cut
-into blocks of BLOCK turns: a block is first reduced to a matrix of best scores from each role before it to each role
-at its end; the matrices of a conversation, one small row each, are chained; then the blocks are decoded between the
-roles chosen for their ends. So a very long conversation is spread over tasks. Scores are fixed-point numbers, so that ties
-are exact (they go to the role first in ROLES).
+counted on labelled rows of one segment, and Viterbi decoding finds the most probable roles of a whole conversation.
+
+All segments are put in one order, by conversation, turn, row and place in the row, and numbered along it by a range
+sort, so neither a very long conversation nor a very long row is one task. BLOCK numbers in a row are a block. The
+part of a conversation in a block is first reduced to a matrix of best scores from each role before it to each role at
+its end; the matrices of a conversation, one small row for each block, are chained; then the blocks are decoded between
+the roles chosen for their ends. Scores are fixed-point numbers, so that ties are exact (they go to the role first in
+ROLES).
 
 Nulls and edges: a null text has no line and keeps its row; a null conversation id is a conversation; turns are in
-the order of their number (null first) and, where equal, of their text; rows that repeat are decoded as turns of
-their own; conversations without a known role elsewhere need none, labels are only read in training; an empty table
-gives an empty result; result columns replace input columns of the same name.
+the order of their number (null first) and, where equal, of a hash of their text, so that the segments of a row stay
+together; rows that repeat are decoded as turns of their own; a row of several segments has no one role and teaches
+none; labels are only read in training; control characters in a text are text; an empty table gives an empty result;
+result columns replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -25,12 +29,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cadenza.llm._shared import Scratch
 from cadenza.llm.language_id import held_out
 
 ROLES = ("system", "user", "assistant")
-BLOCK = 256
+BLOCK = 4096
 #: Speaker markers at the start of a line, by the role that they hint at.
 MARKERS = (("system", "system|instructions?|context"), ("user", "user|human|customer|question|q"), ("assistant", "assistant|ai|bot|agent|answer|a"))
 _ANY = "(?:" + "|".join(m for _, m in MARKERS) + ")"
@@ -44,7 +49,6 @@ SCALE = 1_000_000
 #: Turns that each role's own marker counts as seen with it before training, so that markers speak even where labelled text has none.
 MARKER_PRIOR = 100
 FEATURES = ("marker", "size", "lines", "asks", "opens")
-SCHEMA = "conv_id long, turn long, part int, role_pred string"
 
 
 #: Characters that cutting uses, and what stands for them behind U+0003 meanwhile.
@@ -94,8 +98,11 @@ def _log(n: float, total: float, kinds: int) -> int:
 
 
 def learn(rows: DataFrame) -> Model:
-    """From segments with features and role; null or unknown roles are left out. Counts only reach the driver, a row for each category."""
-    known = rows.where(F.col("role").isin(*ROLES))
+    """From numbered segments with features, parts and role; rows of several segments and null or unknown roles are left out.
+
+    Counts only reach the driver, a row for each category.
+    """
+    known = rows.where(F.col("role").isin(*ROLES) & (F.col("parts") == 1))
     emit: dict[str, dict[str, list[int]]] = {}
     stacked = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES))).alias("x")
     counts = known.select("role", stacked).groupBy("role", "x.feature", "x.value").agg(F.count("*").alias("n")).collect()
@@ -107,11 +114,12 @@ def learn(rows: DataFrame) -> Model:
         values = sorted({v for _, v in of})
         totals = {role: sum(of.get((role, v), 0) for v in values) for role in ROLES}
         emit[f] = {v: [_log(of.get((role, v), 0), totals[role], len(values) + 1) for role in ROLES] for v in values}
-    # a turn's role and that of the turn before; conversations' first turns follow none
-    turns = known.where("part = 0").select("conv_id", "turn", "role")
-    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("previous"))
-    pairs = turns.join(before, ["conv_id", "turn"], "left").groupBy("previous", "role").agg(F.count("*").alias("n")).collect()
-    seen = {(r["previous"], r["role"]): r["n"] for r in pairs}
+    # the role of a row and that of the one before; first rows of conversations follow none
+    before = rows.select((F.col("number") + 1).alias("number"), F.col("conv_id").alias("c"), F.when(F.col("parts") == 1, F.col("role")).alias("previous"), F.lit(True).alias("any"))
+    both = known.select("number", "conv_id", "role").join(before, "number", "left")
+    inside = F.coalesce("any", F.lit(False)) & F.col("conv_id").eqNullSafe(F.col("c"))
+    pairs = both.select("role", inside.alias("inside"), F.when(inside, F.col("previous")).alias("previous")).groupBy("inside", "previous", "role").agg(F.count("*").alias("n")).collect()
+    seen = {(r["previous"], r["role"]): r["n"] for r in pairs if (r["previous"] in ROLES) == r["inside"]}
     step = np.array([[_log(seen.get((p, r), 0), sum(seen.get((p, x), 0) for x in ROLES), len(ROLES)) for r in ROLES] for p in (*ROLES, None)], np.int64)
     return Model(emit, step)
 
@@ -150,16 +158,16 @@ def _reducing(step: np.ndarray):
     """Of each block the best scores from each role before it (the last: none, it starts) to each role at its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: dict[str, list] = {"conv_id": [], "block": [], "best": []}
+        out: dict[str, list] = {"conv_id": [], "block": [], "first": [], "best": []}
 
         def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(out["conv_id"], pa.int64()), pa.array(out["block"], pa.int64()), pa.array(out["best"], pa.list_(pa.int64()))], names=list(out))
+            return pa.RecordBatch.from_arrays([*(pa.array(out[k], pa.int64()) for k in ("conv_id", "block", "first")), pa.array(out["best"], pa.list_(pa.int64()))], names=list(out))
 
         for (conv, block), rows in _groups(batches):
             scores = step + np.array(rows[0]["e"], np.int64)
             for row in rows[1:]:
                 scores = (scores[:, :, None] + step[None, :-1, :]).max(axis=1) + np.array(row["e"], np.int64)
-            for name, x in zip(out, (conv, block, scores.ravel().tolist()), strict=True):
+            for name, x in zip(out, (conv, block, rows[0]["number"], scores.ravel().tolist()), strict=True):
                 out[name].append(x)
             if len(out["block"]) >= 10_000:
                 yield made()
@@ -191,7 +199,7 @@ def chained(blocks: list[list[int]]) -> list[tuple[int, int]]:
 def _chaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush(conv, rows) -> pa.RecordBatch:
         ends = chained([r["best"] for r in rows])
-        return pa.RecordBatch.from_pydict({"conv_id": pa.array([conv] * len(rows), pa.int64()), "block": pa.array([r["block"] for r in rows], pa.int64()), "before": pa.array([a for a, _ in ends], pa.int32()), "last": pa.array([b for _, b in ends], pa.int32())})
+        return pa.RecordBatch.from_pydict({"conv_id": pa.array([conv] * len(rows), pa.int64()), "first": pa.array([rows[0]["first"]] * len(rows), pa.int64()), "block": pa.array([r["block"] for r in rows], pa.int64()), "before": pa.array([a for a, _ in ends], pa.int32()), "last": pa.array([b for _, b in ends], pa.int32())})
 
     conv, run = None, []
     for batch in batches:
@@ -220,11 +228,12 @@ def viterbi(emit: np.ndarray, step: np.ndarray, before: int, last: int | None =
     return out[::-1]
 
 
-def _decoding(step: np.ndarray):
+def _decoding(step: np.ndarray, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches):
             roles = viterbi(np.array([r["e"] for r in rows], np.int64), step, rows[0]["before"], rows[0]["last"])
-            yield pa.RecordBatch.from_pydict({"conv_id": pa.array([r["conv_id"] for r in rows], pa.int64()), "turn": pa.array([r["turn"] for r in rows], pa.int64()), "part": pa.array([r["part"] for r in rows], pa.int32()), "body": pa.array([r["body"] for r in rows], pa.string()), "role": pa.array([r["role"] for r in rows], pa.string()), "held_out": pa.array([r["held_out"] for r in rows], pa.bool_()), "role_pred": pa.array([ROLES[r] for r in roles], pa.string())})
+            columns = {"number": pa.array([r["number"] for r in rows], pa.int64()), "place": pa.array([r["number"] - r["first"] for r in rows], pa.int64()), "role_pred": pa.array([ROLES[r] for r in roles], pa.string())}
+            yield pa.RecordBatch.from_pydict({k: columns[k] for k in names})
 
     return run
 
@@ -235,20 +244,32 @@ def rendered(role: Column, body: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), F.regexp_replace(clean, r"^\s+|\s+$", ""), F.lit("<|end|>\n"))
 
 
+def in_order(rows: DataFrame, order: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """rows, whose order is unique, with number: their place from 0 along it. A range sort: no task holds more than its share."""
+    piece, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    held = scratch.keep(rows.orderBy(*order).withColumn("at", F.monotonically_increasing_id()), name).withColumn("piece", piece)
+    sizes = held.groupBy("piece").agg(F.count("*").alias("n"))  # a row for each task of the sort
+    before = F.coalesce(F.sum("n").over(W.orderBy("piece").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return held.join(F.broadcast(sizes.select("piece", before.alias("ahead"))), "piece").withColumn("number", F.col("ahead") + place).drop("piece", "at", "ahead")
+
+
 def parse(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """conv_id, turn, part, role, held_out, role_pred and rendered of every segment of rows (conv_id, turn, role, text, held_out)."""
-    cut = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "held_out", F.posexplode(segments(F.col("text"))).alias("part", "x")).select("conv_id", "turn", "role", "held_out", "part", "x.marker", "x.body")
-    featured = with_features(cut)
-    model = learn(featured.where(~F.col("held_out")))
-    block = F.floor(F.coalesce(F.col("turn"), F.lit(0)) / BLOCK)
-    scored = scratch.keep(featured.select("conv_id", "turn", "part", "role", "held_out", "body", block.alias("block"), emissions(model).alias("e")), "scored")
-    keys, order = ["conv_id", "block"], ["conv_id", "block", "turn", "body", "part"]
-    best = scored.select("conv_id", "turn", "part", "body", "block", "e").repartition(*keys).sortWithinPartitions(*order).mapInArrow(_reducing(model.step), "conv_id long, block long, best array<long>")
-    ends = best.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_chaining, "conv_id long, block long, before int, last int")
-    ends = scratch.keep(ends, "ends").select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "before", "last")
+    """conv_id, turn, place (in the conversation, from 0), part (in the row), role, held_out, role_pred and rendered of every segment of rows (conv_id, turn, role, text, held_out)."""
+    named = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "held_out", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"), segments(F.col("text")).alias("s"))
+    cut = named.select("conv_id", "turn", "role", "held_out", "tie", "row", F.size("s").alias("parts"), F.posexplode("s").alias("part", "x")).select("*", "x.marker", "x.body").drop("x")
+    featured = scratch.keep(with_features(cut), "cut")
+    ordered = in_order(featured, ["conv_id", "turn", "tie", "role", "row", "part"], scratch, "ordered")
+    scratch.drop("cut")
+    model = learn(ordered.where(~F.col("held_out")))
+    scored = ordered.select("conv_id", "number", F.floor(F.col("number") / BLOCK).alias("block"), emissions(model).alias("e"))
+    best = scored.repartition("block").sortWithinPartitions("number").mapInArrow(_reducing(model.step), "conv_id long, block long, first long, best array<long>")
+    ends = best.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_chaining, "conv_id long, first long, block long, before int, last int")
+    ends = scratch.keep(ends, "ends").select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "first", "before", "last")
     with_ends = scored.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
-    out = with_ends.repartition(*keys).sortWithinPartitions(*order).mapInArrow(_decoding(model.step), "conv_id long, turn long, part int, body string, role string, held_out boolean, role_pred string")
-    return out.select("conv_id", "turn", "part", "role", "held_out", "role_pred", rendered(F.col("role_pred"), F.col("body")).alias("rendered"))
+    names = ["number", "place", "role_pred"]
+    found = with_ends.repartition("block").sortWithinPartitions("number").mapInArrow(_decoding(model.step, names), "number long, place long, role_pred string")
+    out = ordered.select("number", "conv_id", "turn", "part", "role", "held_out", "body").join(found, "number")
+    return out.select("conv_id", "turn", "place", "part", "role", "held_out", "role_pred", rendered(F.col("role_pred"), F.col("body")).alias("rendered"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import itertools
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -168,6 +169,99 @@ def test_roles_and_rendering(spark, monkeypatch):
     assert order(blocks) == order(whole)
 
 
+def brute_segments(text):
+    text = text or ""
+    starts = [m.start() for m in re.finditer(transcripts.MARKER_LINE, text)]
+    out = [(None, text[: starts[0]])] if starts and text[: starts[0]].strip(" ") else []
+    for a, b in zip(starts, [*starts[1:], len(text)]):
+        end = re.compile(transcripts.MARKER_LINE).match(text, a).end()
+        out.append((text[a:end].lower(), text[end:b]))
+    return out if starts else [(None, text)]
+
+
+def brute_features(marker, body, turn, part):
+    kind = "none"
+    if marker:
+        kind = next((role for role, words in transcripts.MARKERS if re.search(rf"(?i)^[^a-z]*(?:{words})[^a-z]*$", marker)), "none")
+    lines = min(8, sum(bool(line.strip()) for line in body.split("\n")))
+    return {"marker": kind, "size": str(math.floor(math.log2(len(body) + 1) * 2)), "lines": str(lines), "asks": str(bool(re.search(r"\?[ \t]*(?:\n|$)", body))).lower(), "opens": str((turn or 0) == 0 and part == 0).lower()}
+
+
+def brute_roles(rows):
+    """Rows (conv, turn, role, text, held_out, order among equal turns), in order, to [(conv, turn, place, part, role_pred, body)]."""
+    seen, steps, convs = Counter(), Counter(), {}
+    for conv, turn, role, text, held in rows:
+        cut = brute_segments(text)
+        own = [(turn, part, role if len(cut) == 1 else None, body, brute_features(marker, body, turn, part)) for part, (marker, body) in enumerate(cut)]
+        convs.setdefault(conv, (held, []))[1].extend(own)
+    for held, items in convs.values():
+        for k, (_, _, role, _, features) in enumerate(items):
+            if held or role not in transcripts.ROLES:
+                continue
+            seen.update((role, f, v) for f, v in features.items())
+            if k == 0 or items[k - 1][2] in transcripts.ROLES:
+                steps[items[k - 1][2] if k else None, role] += 1
+    for role in transcripts.ROLES:
+        seen[role, "marker", role] += transcripts.MARKER_PRIOR
+    log = lambda n, total, kinds: round(transcripts.SCALE * math.log((n + 1) / (total + kinds)))
+    values = {f: {v for _, g, v in seen if g == f} for f in transcripts.FEATURES}
+
+    def emitted(role, features):
+        return sum(log(seen[role, f, v], sum(seen[role, f, x] for x in values[f]), len(values[f]) + 1) for f, v in features.items() if v in values[f])
+
+    def stepped(a, b):
+        return log(steps[a, b], sum(steps[a, x] for x in transcripts.ROLES), 3)
+
+    out = []
+    for conv, (_, items) in convs.items():
+        paths = {r: (stepped(None, r) + emitted(r, items[0][4]), [r]) for r in transcripts.ROLES}
+        for item in items[1:]:
+            best = {r: max((paths[a][0] + stepped(a, r), -k) for k, a in enumerate(transcripts.ROLES)) for r in transcripts.ROLES}
+            paths = {r: (best[r][0] + emitted(r, item[4]), [*paths[transcripts.ROLES[-best[r][1]]][1], r]) for r in transcripts.ROLES}
+        path = max(((s, -k) for k, (s, _) in enumerate(paths.values())))[1]
+        for place, (item, role) in enumerate(zip(items, paths[transcripts.ROLES[-path]][1])):
+            out.append((conv, item[0], place, item[1], role, item[3]))
+    return out
+
+
+def raw_transcripts():
+    rng = np.random.RandomState(12)
+    rows, marks = [], ["User: ", "### Assistant:\n", "[user] ", "<|assistant|>\n", "System: "]
+    for c in range(40):
+        for t in range(rng.randint(1, 6)):
+            role = transcripts.ROLES[1 + t % 2]
+            text = "Zebra? " * rng.randint(1, 4) if role == "user" else "An apple. " * rng.randint(3, 30)
+            if rng.rand() < 0.4:  # a raw transcript in one row; its bodies aren't in alphabetic order
+                text = "\n".join(marks[rng.randint(5)] + rng.choice(["zz why?", "aa \x01 so \x02 it", "mm is\nso. " * 5, "\x03c"]) for _ in range(rng.randint(2, 9)))
+            rows.append((c, t, role, text, c % 5 == 0))
+    rows += [(50, 0, None, "\n".join(f"{marks[i % 2]}{9 - i % 10} {'x' * 5000}" for i in range(200)), False)]  # a row of a megabyte
+    rows += [(51, 0, None, "User: b\nAssistant: a", False)] * 2 + [(None, None, "user", "Hi?", False), (None, 3, None, None, False), (52, 0, "user", "", False)]
+    return rows
+
+
+def test_whole_query_against_brute_force(spark, monkeypatch):
+    rows = raw_transcripts()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, held_out boolean").repartition(3)
+    want = []
+    for *place, role, body in brute_roles(rows):
+        clean = re.sub(r"[ \t]+(?=\n|$)", "", re.sub(r"\r\n?", "\n", body)).strip(" \t\n\x0b\f\r")
+        want.append(repr((*place, role, f"<|{role}|>\n{clean}<|end|>\n")))
+    for block in (4096, 3):
+        monkeypatch.setattr(transcripts, "BLOCK", block)
+        found = transcripts.parse(df, Scratch(spark, "test")).collect()
+        assert sorted(repr((r.conv_id, r.turn, r.place, r.part, r.role_pred, r.rendered)) for r in found) == sorted(want)
+
+
+def test_equal_turns_stay_whole(spark):
+    rows = [(1, 0, None, f"User: {c}1?\nAssistant: {c}2.\nUser: {c}3?", False) for c in "cabcc"]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, held_out boolean")
+    found = sorted(transcripts.parse(df, Scratch(spark, "test")).collect(), key=lambda r: r.place)
+    said = [r.rendered.split("\n")[1] for r in found]
+    assert [r.part for r in found] == [0, 1, 2] * 5
+    assert all(len({x[0] for x in said[i : i + 3]}) == 1 for i in range(0, 15, 3))
+    assert [r.role_pred for r in found] == ["user", "assistant", "user"] * 5
+
+
 def test_no_conversations(spark):
     assert transcripts.parse(conversations(spark).limit(0), Scratch(spark, "test")).count() == 0
 
