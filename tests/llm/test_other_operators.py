@@ -42,6 +42,34 @@ def test_search_small_and_empty(spark):
     assert collision_search.nearest(few.limit(0), F.lit(True)).count() == 0
 
 
+def test_search_of_random_vectors_verifies_few(spark):
+    vectors = np.random.RandomState(6).randn(4096, 64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = collision_search.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    scores = vectors[::20] @ vectors.T
+    scores[np.arange(len(scores)), np.arange(0, 4096, 20)] = -np.inf
+    true = np.argsort(-scores, axis=1)[:, :20]
+    hits = sum(r.vec_id in true[r.query_id // 20] for r in found)
+    assert len(found) == 20 * len(scores) and hits / len(found) >= 0.9
+    assert np.median([r.verified for r in found]) < 0.12 * 4096
+
+
+def test_search_with_repeated_ids_and_several_lengths(spark):
+    rng = np.random.RandomState(2)
+    rows = [(0, rng.randn(4)), (0, rng.randn(4)), (20, rng.randn(6))] + [(i, rng.randn(4)) for i in range(21, 40)] + [(i, rng.randn(6)) for i in range(61, 65)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for r in collision_search.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault((r.query_id, r.query_row), []).append((r["rank"], r.vec_id, r.score))
+    want = []
+    for k, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            near = sorted((-float((u * v).sum()), i) for m, (i, u) in enumerate(rows) if m != k and len(u) == len(v))[:20]
+            want.append((q, [(n + 1, i, -s) for n, (s, i) in enumerate(near)]))
+    assert sorted((q, sorted(x)) for (q, _), x in got.items()) == sorted(want) and len(got) == 3
+    assert sorted(len(x) for x in got.values()) == [4, 20, 20]
+
+
 # --- URLs
 
 URLS = [
