@@ -173,6 +173,21 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
     return _with(docs, text_col, {"ids": T.BinaryType(), "n_tokens": T.LongType()}, of)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """docs with ids, n_tokens and decoded, in one pass: what encode and then decode give."""
+
+    def of():
+        c = codec(path, pattern)
+
+        def one(text: str | None) -> tuple[bytes, int, bytes]:
+            ids = c.encode(text or "")
+            return ids, len(ids) // 4, c.decode(ids)
+
+        return one
+
+    return _with(docs, text_col, {"ids": T.BinaryType(), "n_tokens": T.LongType(), "decoded": T.BinaryType()}, of)
+
+
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """rows with decoded, the bytes of the text that the ids stand for."""
 
@@ -187,8 +202,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), path, pattern)
-    back = decode(ids.select("doc_id", "n_tokens", "ids"), path, pattern)
+    back = round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), path, pattern)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

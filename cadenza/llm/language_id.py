@@ -14,7 +14,8 @@ the sample's n-grams are held by the driver and grow with the languages. Every t
 
 Nulls and edges: a null text or one without a letter is `und` with score 0; rows with a null language are never
 learned from; with no labelled row every text is `und`; repeated rows are each scored; result columns replace
-input columns of the same name; an empty table gives an empty result.
+input columns of the same name; an empty table gives an empty result. A text of very many different n-grams fills the
+2**GRAM_BITS bins; its kernel is then close to that of any text, but it is still told apart by the landmarks' own n-grams.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from cadenza.llm._shared import LOWER, sequence_bytes, ship
 GRAMS = (2, 3, 4)
 GRAM_BITS = 18
 TRAIN_PER_LANG, LANDMARKS_PER_LANG, LANDMARKS = 300, 24, 64 * 24
-#: Texts that fitting takes at once.
-STEP = 1024
+#: Texts that fitting takes at once, and entries of the presence rows of a product.
+STEP, PRESENT = 1024, 3 << 20
 OVERSAMPLE = 4
 RIDGE = 1e-3
 
@@ -79,11 +80,16 @@ class Model:
             self.values[self.row[x], k] = 1 / np.sqrt(max(1, len(x)))
 
     def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
-        """Presence rows by the landmark matrix, as sums over the n-grams that are present."""
+        """Products of presence rows by the landmark matrix, as many texts at a time as PRESENT entries allow."""
         out = np.empty((len(sets), self.values.shape[1]))
-        for i, x in enumerate(sets):
-            rows = self.row[x]
-            out[i] = self.values[rows[rows > 0]].sum(axis=0, dtype=np.float64) / np.sqrt(max(1, len(x)))
+        most = max(1, PRESENT // len(self.values))
+        for i in range(0, len(sets), most):
+            own = sets[i : i + most]
+            sizes = np.array([len(x) for x in own], np.int64)
+            present = np.zeros((len(own), len(self.values)), np.float32)
+            present[np.repeat(np.arange(len(own)), sizes), self.row[np.concatenate(own)]] = 1
+            present[:, 0] = 0  # n-grams of no landmark
+            out[i : i + most] = (present @ self.values) / np.sqrt(np.maximum(sizes, 1))[:, None]
         return out
 
     def scores(self, sets: list[np.ndarray]) -> np.ndarray:
@@ -132,11 +138,11 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     goes before anything is shuffled or sent on.
     """
     ship(docs.sparkSession)
-    known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text"))
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text"))
     counts = known.groupBy("lang").count().collect()
     cuts = [(r["lang"], min((1 << 63) - 1, int(-(1 << 63) + min(1.0, OVERSAMPLE * TRAIN_PER_LANG / r["count"]) * (1 << 64)))) for r in counts]
     cut = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut long"))  # a row for each language
-    rows = known.join(cut, "lang").where(F.col("h") <= F.col("cut")).where(F.col("text").rlike(r"\p{L}")).select("lang", "h", "text")
+    rows = known.join(cut, "lang").where(F.col("h") <= F.col("cut")).select("lang", "h", "text")
     sets = rows.mapInArrow(_gram_sets, "lang string, h long, grams binary")
     ranked = sets.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "grams")))
     return ranked.where(F.col("r") <= TRAIN_PER_LANG).orderBy("lang", "r").select("lang", "grams")
@@ -156,12 +162,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 _CHANCE = 4.0
 
 
-def _predict(model: Model | None, text_col: str, names: list[str]):
+def _predict(model: Model | None, text_col: str, names: list[str], outputs: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(batch.schema.get_field_index(text_col))
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            langs, score = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
+            langs, score, decision = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows), np.full(batch.num_rows, -1.0)
             for i, j, raw, offsets in sequence_bytes(batch, text_col):
                 own = [k for k in range(j - i) if letters[i + k]]
                 if model is None or not own:
@@ -170,20 +176,27 @@ def _predict(model: Model | None, text_col: str, names: list[str]):
                 best = f.argmax(axis=1)
                 at = np.array(own) + i
                 langs[at] = np.array(model.langs, object)[best]
+                decision[at] = f[np.arange(len(own)), best]
                 e = np.exp(_CHANCE * (f - f.max(axis=1, keepdims=True)))
                 score[at] = (e / e.sum(axis=1, keepdims=True))[np.arange(len(own)), best]
-            rest = [batch.column(k) for k, f in enumerate(batch.schema) if f.name not in names[-2:]]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(langs, pa.string()), pa.array(score)], names=names)
+            rest = [batch.column(k) for k, f in enumerate(batch.schema) if f.name not in outputs]
+            made = [pa.array(langs, pa.string()), pa.array(score), pa.array(decision)]
+            yield pa.RecordBatch.from_arrays([*rest, *made[: len(outputs)]], names=names)
 
     return run
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """docs with the predicted language (a learned one, or `und`) and its score (0 to 1: the normalised margin of the winner)."""
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", decision_out: str | None = None) -> DataFrame:
+    """docs with the predicted language (a learned one, or `und`) and its score (0 to 1: the normalised margin of the winner).
+
+    decision_out, if named, is the winner's one-versus-rest decision value: 1 for a typical text of the language, -1 for
+    one of the others, and for `und`. Unlike the score it doesn't depend on how many languages there are.
+    """
     ship(docs.sparkSession)
-    fields = [f for f in docs.schema.fields if f.name not in (lang_out, score_out)]
-    out = T.StructType([*fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
-    return docs.mapInArrow(_predict(model, text_col, out.fieldNames()), out)
+    made = [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType()), *([T.StructField(decision_out, T.DoubleType())] if decision_out else [])]
+    outputs = [f.name for f in made]
+    out = T.StructType([*(f for f in docs.schema.fields if f.name not in outputs), *made])
+    return docs.mapInArrow(_predict(model, text_col, out.fieldNames(), outputs), out)
 
 
 def held_out(id_col: Column, parts: int, rest: int) -> Column:

@@ -173,6 +173,10 @@ def _block_tasks(members: DataFrame, met: DataFrame, sets: DataFrame, scratch: S
     dealt = scratch.keep(sized.join(parts, "home").select("key", "root", F.xxhash64("home", F.pmod(F.xxhash64("key"), F.col("parts"))).alias("block")), "blocks")
     spread = rows.select("h", "key").join(dealt.select("key", "block"), "key").select("h", "block").distinct()
     meet = spread.select("h", F.col("block").alias("x")).join(spread.select("h", F.col("block").alias("y")), "h").where("x <= y").select("x", "y").distinct()
+    roots = scratch.keep(dealt.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")), "block-roots")
+    of = lambda side: roots.select(F.col("block").alias(side), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"high_{side}"))
+    several = F.least("low_x", "low_y") != F.greatest("high_x", "high_y")  # blocks of one component have nothing to tell each other
+    meet = meet.join(of("x"), "x").join(of("y"), "y").where(several).select("x", "y")
     sides = meet.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
     held = dealt.join(met.select("key", "posts"), "key").join(sets, "key")
     return sides.join(held, "block")

@@ -114,10 +114,10 @@ def measure(text: Column) -> Column:
     )
 
 
-def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with the measurements and `failed`, a long whose bit i is set if rule i of RULES fails."""
+def ledger(docs: DataFrame, text_col: str = "text", field: str | None = None) -> DataFrame:
+    """docs with the measurements and `failed`, a long whose bit i is set if rule i of RULES fails; of a field, if text_col is a struct."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {*MEASURES, "failed"}]
-    own = docs.select(*rest, measure(F.col(f"`{text_col}`")).alias("__m"))
+    own = docs.select(*rest, measure(F.col(f"`{text_col}`") if field is None else F.col(f"`{text_col}`")[field]).alias("__m"))
     places = {"n_words": "w.n_words", "word_chars": "w.word_chars", "n_repeat_words": "w.h.n_repeat_words", "n_stutters": "w.h.n_stutters", "n_lines": "l.n_lines", "n_dup_lines": "l.n_dup_lines"}
     flat = own.select(*rest, *(F.col(f"__m.{places.get(m, m)}").alias(m) for m in MEASURES))
     return flat.withColumn("failed", _mask(F.col))
@@ -171,7 +171,9 @@ def ablations(rows: DataFrame, policy: str | tuple[str, ...] = "v1") -> DataFram
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ledger(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return rows.select("doc_id", *MEASURES, "failed", (~passes("base")).alias("base_failed"), passes("v1").alias("kept"))
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    more = [m for m in MEASURES if m not in first]
+    return rows.select("doc_id", *first, (~passes("base")).alias("base_failed"), passes("v1").alias("kept"), *more, "failed")
 
 
 _GAP = r"'[\x20\x09-\x0D]+'"
@@ -195,7 +197,8 @@ f AS (SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_re
         + CASE WHEN 2 * n_bangs > n_words THEN 16 ELSE 0 END + CASE WHEN 100 * n_stutters > 30 * n_words THEN 32 ELSE 0 END
         + CASE WHEN 2 * n_dup_lines > n_lines THEN 64 ELSE 0 END
         + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 128 ELSE 0 END)::BIGINT AS failed FROM m)
-SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept,
+  n_lines, n_upper, n_bangs, n_stutters, failed FROM f
 """
 
 QUERIES = {"op4_quality_rules": op4_quality_rules}

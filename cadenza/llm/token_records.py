@@ -6,15 +6,16 @@ id), the 8-byte document id and the token ids. The index beside it has one 24-by
 id, offset of the record, number of ids; a reader takes records in any order from it. Documents are dealt by ranges
 of ids, each range is sorted and becomes one file; a file has a name of its own for each attempt, and only those of
 successful attempts are in the manifest, so that a lost executor or a repeated task does no harm. The manifest is a
-few numbers for each file. Files lie in the folder that driver and executors share.
+table of a row for each file. Files lie in the folder that driver and executors share.
 
-Nulls and edges: a null text is an empty one, so only the end id is written; null ids come first; rows that repeat
-are all written; texts of any length are one record each; an empty table gives an empty manifest and no rows.
+Nulls and edges: a null text is an empty one, so only the end id is written; null ids come first; equal ids are in
+the order of a hash of their text, and rows that repeat are all written, in several files if there are many; texts of any length are one record each; an empty table gives an empty manifest and no rows.
 """
 
 from __future__ import annotations
 
 import array
+import json
 import re
 import sys
 import uuid
@@ -25,12 +26,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cadenza.llm._shared import Scratch, ship
 from cadenza.llm.byte_bpe import byte_characters
 
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n_tokens", "<u8")])
-ROWS_PER_FILE = 8192
+#: Documents of a file, and the least of one while there are fewer files than tasks.
+ROWS_PER_FILE, LEAST_ROWS = 65_536, 1024
 LANE = 256
 
 
@@ -142,8 +145,39 @@ def read_records(data_path: str, index_path: str, order: np.ndarray | None = Non
             yield unframed(got)
 
 
+# The steps before the model in the tokenizer files that WordCache may stand in for.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def by_chunks(path: str) -> bool:
+    """Whether a tokenizer's ids of a text are those of its chunks between spaces: known steps, a model without state, no added token with a space."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    plain = all(not re.search(r"\s", t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in found["added_tokens"])
+    return plain and found["normalizer"] == NORMALIZER and found["pre_tokenizer"] == PRE_TOKENIZER and found["model"]["type"] == "BPE" and not found["model"].get("dropout")
+
+
+class Whole:
+    """Ids of whole texts, for a tokenizer of any kind."""
+
+    def __init__(self, path: str, width: int) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.kind = Tokenizer.from_file(path), f"<u{width}"
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 class WordCache(dict):
-    """Ids of the chunks between spaces. The tokenizer drops white space and no token spans it, so a text's ids are its chunks' ids in turn.
+    """Ids of the chunks between spaces, for tokenizers of which by_chunks holds: they drop white space, and no token spans it.
 
     The common chunk, letters of Latin-1 and then ASCII punctuation, is two pre-tokens whose normal form is their lower
     case; the library's model encodes them directly, once each. Every other chunk goes through the whole tokenizer.
@@ -191,8 +225,11 @@ class WordCache(dict):
             self.parts = {"": b""}
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        return list(map(self.encode, texts))
+
 
-_caches: dict[tuple[str, int], WordCache] = {}
+_caches: dict[tuple[str, int], Whole | WordCache] = {}
 
 
 def _writer(root: str, tokenizer: str, end_id: int, width: int):
@@ -200,7 +237,7 @@ def _writer(root: str, tokenizer: str, end_id: int, width: int):
         from pyarrow import fs
 
         if (tokenizer, width) not in _caches:
-            _caches[tokenizer, width] = WordCache(tokenizer, width)
+            _caches[tokenizer, width] = (WordCache if by_chunks(tokenizer) else Whole)(tokenizer, width)
         cache = _caches[tokenizer, width]
         end = np.array([end_id], cache.kind).tobytes()
         name = f"{root}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:8]}"
@@ -211,7 +248,7 @@ def _writer(root: str, tokenizer: str, end_id: int, width: int):
             for batch in batches:
                 for i in range(0, batch.num_rows, 256):
                     part = batch.slice(i, 256)
-                    ids = [cache.encode(x or "") + end for x in part.column(1).to_pylist()]
+                    ids = [x + end for x in cache.encode_all([x or "" for x in part.column(1).to_pylist()])]
                     keys = part.column(0).to_pylist()
                     for key, x, record in zip(keys, ids, frames([payload(k, x, width) for k, x in zip(keys, ids, strict=True)]), strict=True):
                         index.append((key or 0, offset, len(x) // width))
@@ -225,23 +262,26 @@ def _writer(root: str, tokenizer: str, end_id: int, width: int):
     return run
 
 
-def write_records(docs: DataFrame, root: str, tokenizer: str, end_id: int, width: int = 2, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = ROWS_PER_FILE) -> list[dict]:
-    """Encode whole texts, append end_id to each, and write record files in ascending id order below root.
+MANIFEST = "part int, data string, index string, n_rows long, n_tokens long"
+
+
+def file_count(rows: int, tasks: int) -> int:
+    """Files for this many documents: ROWS_PER_FILE of them in each, fewer where that leaves some of `tasks` without work."""
+    return max(1, -(-rows // ROWS_PER_FILE), min(tasks, -(-rows // LEAST_ROWS)))
+
+
+def write_records(docs: DataFrame, scratch: Scratch, tokenizer: str, end_id: int, width: int = 2, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> DataFrame:
+    """Encode whole texts, append end_id to each, and write record files in ascending id order in a folder of scratch.
 
-    Gives the manifest: part, data, index, n_rows, n_tokens and start (ids in all files before) of each file.
-    width 2 holds vocabularies of up to 65,536 ids, 4 any.
+    Gives the manifest, a table beside the files: part, data, index, n_rows, n_tokens and start (ids in all files before)
+    of each file. width 2 holds vocabularies of up to 65,536 ids, 4 any.
     """
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    files = max(1, -(-rows.count() // rows_per_file))
-    dealt = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
-    written = dealt.mapInArrow(_writer(root, tokenizer, end_id, width), "part int, data string, index string, n_rows long, n_tokens long")
-    start, manifest = 0, []
-    for row in sorted(written.collect(), key=lambda r: r["part"]):  # a few numbers for each file
-        if row["n_rows"]:
-            manifest.append(row.asDict() | {"start": start})
-            start += row["n_tokens"]
-    return manifest
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("row"))
+    files = files or file_count(docs.count(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartitionByRange(files, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    written = scratch.keep(dealt.mapInArrow(_writer(scratch.path("files"), tokenizer, end_id, width), MANIFEST), "manifest").where("n_rows > 0")
+    before = F.sum("n_tokens").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))  # a row for each file
+    return written.withColumn("start", F.coalesce(before, F.lit(0)))
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,20 +296,19 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, pa.int64()), "start": starts, "n_tokens": sizes, "ids": pa.array(ids, pa.binary())})
 
 
-def read_manifest(spark: SparkSession, manifest: list[dict]) -> DataFrame:
+def read_manifest(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of all records, from the files; ids as little-endian unsigned 32-bit integers."""
-    ship(spark)
-    files = spark.createDataFrame([(m["data"], m["index"], m["start"]) for m in manifest], "data string, index string, start long")
-    return files.repartition(max(1, len(manifest))).mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids binary")
+    ship(manifest.sparkSession)
+    files = manifest.select("data", "index", "start")
+    return files.repartition(max(1, files.count())).mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    root = Scratch(spark, "records").path("files")
-    manifest = write_records(docs, root, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
-    return read_manifest(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    manifest = write_records(docs, Scratch(spark, "records"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_manifest(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES = {"op2_token_records": op2_token_records}

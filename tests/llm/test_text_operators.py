@@ -77,6 +77,53 @@ def test_kernel_is_normalised_overlap():
     assert np.allclose(np.diag(k), 1) and np.allclose(k[0, 1], len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b)))
 
 
+def brute_grams(text):
+    """Distinct n-grams of 2 to 4 bytes over letters and single spaces, by the bin that each falls in."""
+    b = "".join(c if c.isalpha() and c.isascii() or ord(c) > 127 else " " for c in text.translate({c: c + 32 for c in range(65, 91)})).encode()
+    b = b" " + b + b" "
+    b = bytes(c for i, c in enumerate(b) if c != 32 or i == 0 or b[i - 1] != 32)
+    bins = set()
+    for n in (2, 3, 4):
+        for i in range(len(b) - n + 1):
+            code = b[i]
+            for c in b[i + 1 : i + n]:
+                code = (code * 257 & 0xFFFFFFFF) ^ c
+            bins.add(((code + n) * 2654435761 & 0xFFFFFFFF) >> (32 - language_id.GRAM_BITS))
+    return bins
+
+
+def test_language_against_brute_force():
+    rows = [(r[1], r[2]) for r in ROWS if r[1] and r[2] and any(c.isalpha() for c in r[1]) and len(r[1]) < 5000]
+    sets = [brute_grams(t) for t, _ in rows]
+    assert all(sorted(s) == language_id.grams(np.frombuffer(t.encode(), np.uint8)).tolist() for s, (t, _) in zip(sets, rows))
+    own = [i for i in range(len(rows)) if i % 4]
+    model = language_id.fit([np.array(sorted(sets[i])) for i in own], [rows[i][1] for i in own])
+    langs, chosen = sorted({x for _, x in rows}), []
+    for lang in langs:
+        chosen += [i for i in own if rows[i][1] == lang][: language_id.LANDMARKS_PER_LANG]
+    chosen.sort()
+    kernel = np.array([[len(a & sets[i]) / np.sqrt(len(a) * len(sets[i])) for i in chosen] for a in sets])
+    values, vectors = np.linalg.eigh(kernel[chosen])
+    z = kernel @ (vectors @ np.diag(values**-0.5))
+    z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+    share = np.array([1 / sum(rows[j][1] == rows[i][1] for j in own) for i in own])
+    target = np.array([[1.0 if rows[i][1] == x else -1.0 for x in langs] for i in own])
+    weights = np.linalg.solve((z[own] * share[:, None]).T @ z[own] + language_id.RIDGE * np.eye(z.shape[1]), (z[own] * share[:, None]).T @ target)
+    want, got = z @ weights, model.scores([np.array(sorted(s)) for s in sets])
+    assert np.abs(want - got).max() < 1e-3 and (want.argmax(axis=1) == got.argmax(axis=1)).all()
+
+
+def test_decision_values_reject_what_was_not_learned():
+    text = {"a": "ka lo mi ru ", "b": "stren glopf wirz ", "c": "ééà çèù ", "d": "жуш цын щёт "}
+    rng = np.random.RandomState(1)
+    made = {k: [" ".join(rng.permutation(v.split())[: rng.randint(1, 4)]) * 3 for _ in range(40)] for k, v in text.items()}
+    sets = lambda k: [language_id.grams(np.frombuffer(t.encode(), np.uint8)) for t in made[k]]
+    for known in (["a", "b"], ["a", "b", "c"]):
+        model = language_id.fit([s for k in known for s in sets(k)], [k for k in known for _ in range(40)])
+        assert all(model.scores(sets(k)).max(axis=1).min() > 0.5 for k in known)
+        assert model.scores(sets("d")).max(axis=1).max() < 0.5
+
+
 # --- byte BPE
 
 
@@ -93,6 +140,8 @@ def test_byte_bpe_equals_tiktoken(spark):
     for r in rows:
         assert np.frombuffer(r.ids, "<u4").tolist() == theirs.encode_ordinary(by_id[r.doc_id]) and r.n_tokens == len(r.ids) // 4
         assert bytes(r.decoded).decode() == by_id[r.doc_id]
+    both = {(r.doc_id, r.n_tokens, bytes(r.ids), bytes(r.decoded)) for r in byte_bpe.round_trip(frame(spark, clash=True), path, pattern).collect()}
+    assert both == {(r.doc_id, r.n_tokens, bytes(r.ids), bytes(r.decoded)) for r in rows}
     assert byte_bpe.encode(empty(spark), path, pattern).count() == 0
     nothing = spark.createDataFrame([(1, None)], "k long, ids binary")
     assert byte_bpe.decode(nothing, path, pattern).first().decoded is None
@@ -116,9 +165,10 @@ def test_damage_is_found():
 def test_records_round_trip(spark, width):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    manifest = token_records.write_records(frame(spark, clash=True), Scratch(spark, "test").path("files"), path, 2, width=width, rows_per_file=30)
+    table = token_records.write_records(frame(spark, clash=True).drop("row", "h"), Scratch(spark, "test"), path, 2, width=width, files=4)
+    manifest = table.orderBy("part").collect()
     assert len(manifest) > 1
-    got = sorted(((r.start, r.doc_id, bytes(r.ids)) for r in token_records.read_manifest(spark, manifest).collect()), key=lambda x: x[0])
+    got = sorted(((r.start, r.doc_id, bytes(r.ids)) for r in token_records.read_manifest(table).collect()), key=lambda x: x[0])
     want, start = [], 0
     for doc, text in sorted(((r[0], r[1] or "") for r in ROWS), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
         ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
@@ -132,8 +182,23 @@ def test_records_round_trip(spark, width):
 
 
 def test_no_records(spark):
-    manifest = token_records.write_records(empty(spark), Scratch(spark, "test").path("files"), public_tokenizers.path("word_bpe_49k.json"), 2)
-    assert manifest == [] and token_records.read_manifest(spark, manifest).count() == 0
+    manifest = token_records.write_records(empty(spark), Scratch(spark, "test"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    assert manifest.count() == 0 and token_records.read_manifest(manifest).count() == 0
+
+
+def test_records_of_another_tokenizer(spark, tmp_path):
+    import json
+
+    assert token_records.by_chunks(public_tokenizers.path("word_bpe_49k.json"))
+    assert not token_records.by_chunks(public_tokenizers.path("byte_bpe_50k.json"))
+    changed = json.load(open(public_tokenizers.path("word_bpe_49k.json")))
+    changed["normalizer"]["normalizers"].pop()  # upper case stays
+    path = str(tmp_path / "cased.json")
+    json.dump(changed, open(path, "w"))
+    tokenizer = Tokenizer.from_file(path)
+    table = token_records.write_records(frame(spark).where("doc_id < 200"), Scratch(spark, "test"), path, 2, files=2)
+    texts = {(r[0], np.array([*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for r in ROWS if r[0] is not None and r[0] < 200}
+    assert {(r.doc_id, bytes(r.ids)) for r in token_records.read_manifest(table).collect()} == texts
 
 
 # --- packing
