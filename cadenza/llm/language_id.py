@@ -97,6 +97,12 @@ class Model:
         return np.concatenate([z, np.ones((len(z), 1))], axis=1) @ self.weights
 
 
+    def excess(self, f: np.ndarray) -> np.ndarray:
+        """How far decision values lie from the mean of all targets (0: nothing known of the text) to that of the class (1); 1 if there is one class only."""
+        mean = 2 / len(self.langs) - 1
+        return (f - mean) / (1 - mean) if mean < 1 else np.ones_like(f)
+
+
 def fit(sets: list[np.ndarray], langs: list[str], ridge: float = RIDGE) -> Model | None:
     """n-gram sets in a fixed order; the first of each language (LANDMARKS_PER_LANG, or its share of LANDMARKS) are the landmarks. None without sets."""
     if not sets:
@@ -167,7 +173,7 @@ def _predict(model: Model | None, text_col: str, names: list[str], outputs: list
         for batch in batches:
             text = batch.column(batch.schema.get_field_index(text_col))
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            langs, score, decision = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows), np.full(batch.num_rows, -1.0)
+            langs, score, decision = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             for i, j, raw, offsets in sequence_bytes(batch, text_col):
                 own = [k for k in range(j - i) if letters[i + k]]
                 if model is None or not own:
@@ -176,7 +182,7 @@ def _predict(model: Model | None, text_col: str, names: list[str], outputs: list
                 best = f.argmax(axis=1)
                 at = np.array(own) + i
                 langs[at] = np.array(model.langs, object)[best]
-                decision[at] = f[np.arange(len(own)), best]
+                decision[at] = model.excess(f[np.arange(len(own)), best])
                 e = np.exp(_CHANCE * (f - f.max(axis=1, keepdims=True)))
                 score[at] = (e / e.sum(axis=1, keepdims=True))[np.arange(len(own)), best]
             rest = [batch.column(k) for k, f in enumerate(batch.schema) if f.name not in outputs]
@@ -189,8 +195,8 @@ def _predict(model: Model | None, text_col: str, names: list[str], outputs: list
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", decision_out: str | None = None) -> DataFrame:
     """docs with the predicted language (a learned one, or `und`) and its score (0 to 1: the normalised margin of the winner).
 
-    decision_out, if named, is the winner's one-versus-rest decision value: 1 for a typical text of the language, -1 for
-    one of the others, and for `und`. Unlike the score it doesn't depend on how many languages there are.
+    decision_out, if named, is Model.excess of the winner, 0 for `und`. Unlike the score it doesn't depend on how many
+    languages there are.
     """
     ship(docs.sparkSession)
     made = [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType()), *([T.StructField(decision_out, T.DoubleType())] if decision_out else [])]
