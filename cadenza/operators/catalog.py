@@ -108,3 +108,27 @@ def batches_by(rows: DataFrame, shape: list[str], order: str, size: int, part_ro
     """rows with batch: consecutive groups of `size` rows of the same shape, in the order of a whole-number column."""
     out = numbered(rows, shape, F.floor(F.col(order) / part_rows), [order], "__n")
     return out.withColumn("batch", F.floor((F.col("__n") - 1) / size).cast("long")).drop("__n")
+
+
+def timeline_errors(expected: DataFrame, got: DataFrame, key: str, target_fps: float, late: float = 2e-5) -> DataFrame:
+    """(key, found, expected, error): the first fault of each result, or null: `rows`, `frame` or `time_s`.
+
+    expected: key, target_idx, source_idx; got: key, target_idx (the row's place), frame and time_s. A result has exactly
+    the rows of the target timeline, the nearest frame in each, and its time within `late` seconds.
+    """
+    rows = expected.join(got, [key, "target_idx"], "full")
+    off = F.abs(F.col("time_s") - F.col("target_idx") / F.lit(float(target_fps))) > late
+    error = F.when(F.count("frame") != F.count("source_idx"), "rows").when(F.count_if(F.col("frame") != F.col("source_idx")) > 0, "frame").when(F.count_if(off) > 0, "time_s")
+    return rows.groupBy(key).agg(F.count("frame").alias("found"), F.count("source_idx").alias("expected"), error.alias("error"))
+
+
+def index_faults(rows: DataFrame, key: str, idx: str) -> DataFrame:
+    """(key, frames, missing, negative, repeated): rows of each source whose index is absent, negative or there before."""
+    each = rows.groupBy(key, idx).agg(F.count("*").alias("n"))
+    again = F.sum(F.when(F.col(idx).isNotNull(), F.col("n") - 1).otherwise(0))
+    return each.groupBy(key).agg(F.sum("n").alias("frames"), F.coalesce(F.sum(F.when(F.col(idx).isNull(), F.col("n"))), F.lit(0)).alias("missing"), F.coalesce(F.sum(F.when(F.col(idx) < 0, F.col("n"))), F.lit(0)).alias("negative"), again.alias("repeated"))
+
+
+def checked_indices(rows: DataFrame, idx: str) -> DataFrame:
+    """rows; one without an index, or with a negative one, is an error, never dropped."""
+    return rows.where(F.when(F.col(idx).isNull() | (F.col(idx) < 0), F.raise_error(F.lit("frame without index"))).otherwise(F.lit(True)))

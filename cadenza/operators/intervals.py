@@ -43,9 +43,9 @@ def composite(raw: Column, face: Column, pose: Column, head: Column, gaze: Colum
     return 100.0 * (0.30 * raw + 0.20 * face + 0.10 * pose + 0.20 * head + 0.15 * gaze + 0.05 * unblocked)
 
 
-def closeness(terms: list[tuple[Column, float]]) -> Column:
+def closeness(terms: list[tuple[Column, float | Column]]) -> Column:
     """Mean over all known values of all terms of 1 - |value| / limit, within [0, 1]; 0 without any. Not a mean of means."""
-    parts = [clip(1.0 - F.abs(finite(x)) / F.lit(float(limit)), 0.0, 1.0) for x, limit in terms]
+    parts = [clip(1.0 - F.abs(finite(x)) / (limit if isinstance(limit, Column) else F.lit(float(limit))), 0.0, 1.0) for x, limit in terms]
     total = sum((F.coalesce(F.sum(p), F.lit(0.0)) for p in parts[1:]), F.coalesce(F.sum(parts[0]), F.lit(0.0)))
     known = sum((F.count(p) for p in parts[1:]), F.count(parts[0]))
     return F.coalesce(F.try_divide(total, known), F.lit(0.0))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cadenza.functions import finite
 from cadenza.operators.numbering import numbered
+from cadenza.shipping import ship
 
 #: Ranges of values that cumulative sums are cut into.
 PARTS = 1024
@@ -66,6 +69,20 @@ def cross_validated(rows: DataFrame, value: str, positive: str, folds: int) -> D
     return confusion(tested, F.col(positive), F.col(value) <= F.col("threshold"), ["fold", "threshold"])
 
 
+def fold_count(rows: DataFrame, positive: str, most: int = 10) -> int:
+    """Folds that leave each class in every one: the smaller class, `most` at most; 0 if a class is missing."""
+    n = rows.agg(F.count_if(F.col(positive)).alias("p"), F.count_if(~F.col(positive)).alias("n")).first()
+    return min(most, n["p"], n["n"])
+
+
+def pooled(by_fold: DataFrame) -> DataFrame:
+    """One row over cross_validated's folds: confusion counts, accuracies, and the spread of the thresholds."""
+    names = ("tn", "fp", "fn", "tp")
+    sums = by_fold.agg(F.count("*").alias("folds"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names), F.min("threshold").alias("threshold_min"), F.percentile("threshold", 0.5).alias("threshold_median"), F.max("threshold").alias("threshold_max"))
+    right, all_rows = F.col("tn") + F.col("tp"), sum((F.col(c) for c in names[1:]), F.col("tn"))
+    return sums.withColumns({"balanced_accuracy": balanced_accuracy(*(F.col(c) for c in names)), "accuracy": F.try_divide(right, all_rows)})
+
+
 def classified(value: Column, threshold: Column, margin: float, decision: Column) -> dict[str, Column]:
     """Class of a row, where it comes from, the class that the rule alone suggests, and the distance to the threshold.
 
@@ -87,13 +104,32 @@ def gaze_risk(residual: Column, horizontal: Column, vertical: Column, vertical_r
     return F.when(residual.isNotNull(), F.greatest(residual / horizontal, vertical / vertical_reference))
 
 
-def slope_search(rows: DataFrame, segment: str, h: str, yaw: str, low: float, high: float, steps: int) -> DataFrame:
-    """One row: the slope of the grid with the smallest median, over segments, of the 95th percentile of |h - slope * yaw|; the first of equals.
+#: Frames times slopes that a step of slope_spreads holds.
+HELD = 4 << 20
+
 
-    The grid is exploded beside the rows and reduced by exact percentiles within (slope, segment).
+def slope_spreads(rows: DataFrame, segment: str, h: str, yaw: str, low: float, high: float, steps: int, q: float = 0.95) -> DataFrame:
+    """(segment, spreads): for each slope of the grid the q quantile of |h - slope * yaw| over the segment's frames.
+
+    A segment's frames are shuffled once and meet the whole grid in one task, as a matrix of bounded size at a time.
+    Segments are as long as a profile's longest interval, or a recording.
     """
-    both = rows.where(finite(F.col(h)).isNotNull() & finite(F.col(yaw)).isNotNull())
-    grid = both.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))).withColumn("slope", F.lit(low) + F.col("step") * F.lit((high - low) / (steps - 1)))
-    spread = grid.groupBy("step", "slope", segment).agg(F.percentile(F.abs(F.col(h) - F.col("slope") * F.col(yaw)), 0.95).alias("p95"))
-    loss = spread.groupBy("step", "slope").agg(F.round(F.percentile("p95", 0.5), 9).alias("loss"))
-    return loss.agg(F.min_by(F.struct("slope", "loss", "step"), F.struct("loss", "step")).alias("b")).select("b.*")
+    ship(rows.sparkSession)
+    slopes = low + np.arange(steps) * ((high - low) / (steps - 1))
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y = (table.column(c).to_numpy()[:, None] for c in (h, yaw))
+        width = max(1, HELD // len(x))
+        spreads = np.concatenate([np.quantile(np.abs(x - slopes[None, i : i + width] * y), q, axis=0) for i in range(0, steps, width)])
+        return pa.table({segment: table.column(segment)[:1], "spreads": pa.array([spreads])})
+
+    both = rows.select(segment, finite(F.col(h)).alias(h), finite(F.col(yaw)).alias(yaw)).dropna()
+    return both.groupBy(segment).applyInArrow(run, f"{segment} {dict(rows.dtypes)[segment]}, spreads array<double>")
+
+
+def slope_search(rows: DataFrame, segment: str, h: str, yaw: str, low: float, high: float, steps: int) -> DataFrame:
+    """One row: the slope of the grid with the smallest median, over segments, of the 95th percentile of |h - slope * yaw|; the first of equals."""
+    spread = slope_spreads(rows, segment, h, yaw, low, high, steps).select(F.posexplode("spreads").alias("step", "p95"))
+    loss = spread.groupBy("step").agg(F.round(F.percentile("p95", 0.5), 9).alias("loss"))
+    best = loss.agg(F.min_by(F.struct("step", "loss"), F.struct("loss", "step")).alias("b")).select("b.*")
+    return best.select("step", (F.lit(low) + F.col("step") * F.lit((high - low) / (steps - 1))).alias("slope"), "loss")

@@ -164,17 +164,19 @@ def split_runs(runs: DataFrame, shortest: int, target: int, longest: int) -> Dat
     return out.select(*keep, F.col("__a").alias("start_index"), F.col("__b").alias("end_index_exclusive"))
 
 
-def tag_pieces(df: DataFrame, key: str, flag: str, shortest: int, target: int, longest: int, idx: str = "idx") -> DataFrame:
+def tag_pieces(df: DataFrame, key: str | list[str], flag: str, shortest: int | Column, target: int | Column, longest: int | Column, idx: str = "idx") -> DataFrame:
     """The rows of df that lie in a piece of split_runs(true_runs(df)), with that piece's start_index and end_index_exclusive.
 
     A row's piece follows from its place in its run, so rows are neither joined with intervals nor shuffled again.
+    Lengths may be columns that are the same for all rows of a key.
     """
-    if not 0 < shortest <= target <= longest:
+    if isinstance(shortest, int) and not 0 < shortest <= target <= longest:
         raise ValueError("lengths must be positive and ascend")
-    run = W.partitionBy(key, "run_id")
+    shortest, target, longest = ((F.lit(x) if isinstance(x, int) else x).cast("double") for x in (shortest, target, longest))
+    run = W.partitionBy(*([key] if isinstance(key, str) else key), "run_id")
     rows = tag_runs(df, key, flag, idx).withColumn("__len", F.count("*").over(run)).withColumn("__a", F.min(idx).over(run)).where(F.col("__len") >= shortest)
-    n = F.greatest(F.lit(1), F.bround(F.col("__len") / F.lit(float(target)), 0).cast("long"), F.ceil(F.col("__len") / F.lit(float(longest))))
-    rows = rows.withColumn("__n", F.least(n, F.floor(F.col("__len") / F.lit(float(shortest))))).withColumn("__o", F.col(idx) - F.col("__a"))
+    n = F.greatest(F.lit(1), F.bround(F.col("__len") / target, 0).cast("long"), F.ceil(F.col("__len") / longest))
+    rows = rows.withColumn("__n", F.least(n, F.floor(F.col("__len") / shortest))).withColumn("__o", F.col(idx) - F.col("__a"))
     cut = lambda i: F.bround(i * F.col("__len") / F.col("__n"), 0).cast("long")
     near = F.floor(F.col("__o") * F.col("__n") / F.col("__len"))  # the piece, or one beside it: cuts are rounded
     piece = F.when(cut(near + 1) <= F.col("__o"), near + 1).when(cut(near) > F.col("__o"), near - 1).otherwise(near)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("segmentation", "catalog", "learning", "compute")
+_MODULES = ("segmentation", "profiles", "catalog", "learning", "compute")
 
 
 def _load():

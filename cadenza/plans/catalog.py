@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cadenza.functions import probability, rational
-from cadenza.operators import catalog, intervals, ranking
+from cadenza.operators import catalog, intervals, ranking, timeline
 from cadenza.operators.numbering import numbered
 from cadenza.plans._registry import FRAMES, frames, query, table
 from cadenza.sources import columns, manifests
@@ -313,31 +314,24 @@ def a32(spark, sf_dir):
 # --- order, limits, sets
 
 
-@query("o01_multi_key_sort", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_custkey, o_orderkey) AS place FROM orders ORDER BY place LIMIT 500")
+@query("o01_multi_key_sort", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_custkey, o_orderkey) AS place FROM orders")
 def o01(spark, sf_dir):
-    top = table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_custkey", "o_orderkey").limit(500)
-    from pyspark.sql import Window
-
-    return top.select("o_orderkey", F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_custkey", "o_orderkey")).cast("long").alias("place"))
-
-
-@query("o01_multi_key_sort_whole", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_custkey, o_orderkey) AS place FROM orders")
-def o01_whole(spark, sf_dir):
-    """All orders, where o01_multi_key_sort has the first 500."""
     part = F.coalesce(F.floor(-F.col("o_totalprice")).cast("long"), F.lit((1 << 63) - 1))  # no price comes last
     order = [F.desc_nulls_last("o_totalprice"), "o_custkey", "o_orderkey"]
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return numbered(rows, [], part, order, "place").select("o_orderkey", "place")
 
 
-@query("o02_sort_by_path", f"WITH {CONTENT} SELECT path, bytes FROM content")
+@query("o02_sort_by_path", f"WITH {CONTENT} SELECT path, bytes, row_number() OVER (ORDER BY path) AS place FROM content")
 def o02(spark, sf_dir):
-    return _content(spark, sf_dir).orderBy("path").select("path", "bytes")
+    rows = _content(spark, sf_dir).select("path", "bytes")
+    return numbered(rows, [], F.substring("path", 1, 12), ["path"], "place").select("path", "bytes", "place")
 
 
-@query("o03_groups_by_first_member", f"WITH {CONTENT} SELECT min(path) AS first_path, count(*) AS members FROM content GROUP BY digest HAVING count(*) > 1")
+@query("o03_groups_by_first_member", f"WITH {CONTENT}, g AS (SELECT min(path) AS first_path, count(*) AS members FROM content GROUP BY digest HAVING count(*) > 1) SELECT *, row_number() OVER (ORDER BY first_path) AS place FROM g")
 def o03(spark, sf_dir):
-    return _content(spark, sf_dir).groupBy("digest").agg(F.min("path").alias("first_path"), F.count("*").alias("members")).where("members > 1").orderBy("first_path").select("first_path", "members")
+    groups = _content(spark, sf_dir).groupBy("digest").agg(F.min("path").alias("first_path"), F.count("*").alias("members")).where("members > 1")
+    return numbered(groups, [], F.substring("first_path", 1, 12), ["first_path"], "place").select("first_path", "members", "place")
 
 
 @query("o06_first_n", "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 50")
@@ -387,25 +381,41 @@ def v01(spark, sf_dir):
     return _validated(spark, sf_dir)
 
 
-@query("v02_timeline_check", f"WITH {FRAMES} SELECT source_id, count(*) AS frames, max(idx) + 1 = count(*) AS whole, count(DISTINCT idx) = count(*) AS unique_rows FROM frames GROUP BY source_id")
+# results of resampling to 24 a second: some rows lost, some frames off by one, some times late
+RESULTS = f"""{FRAMES}, n AS (SELECT user_id AS source_id, count(*) AS n FROM events GROUP BY user_id), k AS (SELECT source_id, unnest(generate_series(0, CAST(floor((n - 1) * 24.0 / 30.0) AS BIGINT))) AS target_idx FROM n),
+expected AS (SELECT source_id, target_idx, CAST(floor(target_idx * 30.0 / 24.0 + 0.5) AS BIGINT) AS source_idx FROM k),
+got AS (SELECT e.source_id, row_number() OVER (PARTITION BY e.source_id ORDER BY e.target_idx) - 1 AS target_idx, e.source_idx + CASE WHEN f.event_id % 499 = 0 THEN 1 ELSE 0 END AS frame, e.target_idx / CAST(24 AS DOUBLE) + CASE WHEN f.event_id % 251 = 0 THEN 0.001 ELSE 0 END AS time_s
+  FROM expected e JOIN frames f ON f.source_id = e.source_id AND f.idx = e.source_idx WHERE f.event_id % 211 <> 0)"""
+
+
+def _resampled(spark, sf_dir):
+    rows = frames(spark, sf_dir).select("source_id", F.col("idx").alias("source_idx"), "event_id")
+    sources = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("source_id")).agg(F.count("*").alias("n"))
+    expected = timeline.resample(sources, "n", 30.0, 24.0).select("source_id", "target_idx", "source_idx")
+    kept = expected.join(rows, ["source_id", "source_idx"]).where(F.col("event_id") % 211 != 0)
+    place = (F.row_number().over(W.partitionBy("source_id").orderBy("target_idx")) - 1).cast("long")
+    late = F.when(F.col("event_id") % 251 == 0, 0.001).otherwise(0.0)
+    got = kept.select("source_id", place.alias("target_idx"), (F.col("source_idx") + (F.col("event_id") % 499 == 0).cast("int")).alias("frame"), (F.col("target_idx") / 24.0 + late).alias("time_s"))
+    return expected, got
+
+
+@query("v02_timeline_check", f"WITH {RESULTS}, b AS (SELECT coalesce(e.source_id, g.source_id) AS source_id, e.source_idx, e.target_idx, g.frame, g.time_s FROM expected e FULL JOIN got g ON e.source_id = g.source_id AND e.target_idx = g.target_idx) SELECT source_id, count(frame) AS found, count(source_idx) AS expected, CASE WHEN count(frame) <> count(source_idx) THEN 'rows' WHEN count(*) FILTER (WHERE frame <> source_idx) > 0 THEN 'frame' WHEN count(*) FILTER (WHERE abs(time_s - target_idx / CAST(24 AS DOUBLE)) > 2e-5) > 0 THEN 'time_s' END AS error FROM b GROUP BY source_id")
 def v02(spark, sf_dir):
-    """Whether each source has exactly the rows of its timeline; distinct counting is a second count per (source, idx)."""
-    per_row = frames(spark, sf_dir).groupBy("source_id", "idx").agg(F.count("*").alias("n"))
-    return per_row.groupBy("source_id").agg(F.sum("n").alias("frames"), (F.max("idx") + 1 == F.sum("n")).alias("whole"), (F.max("n") == 1).alias("unique_rows"))
+    expected, got = _resampled(spark, sf_dir)
+    return catalog.timeline_errors(expected, got, "source_id", 24.0)
 
 
 @query("v03_size_unchanged", "SELECT d.doc_id, d.n_chars, length(d.text) AS staged FROM documents d WHERE d.n_chars <> length(d.text)")
 def v03(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    staged = docs.select("doc_id", F.length("text").cast("long").alias("staged"))
-    return docs.select("doc_id", "n_chars").join(staged, "doc_id").where("n_chars <> staged")
+    staged = table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.length("text").cast("long").alias("staged"))
+    return staged.where("n_chars <> staged")
 
 
-@query("v04_runtime_contract", f"WITH {FRAMES} SELECT source_id, count(*) AS frames FROM frames GROUP BY source_id")
+@query("v04_runtime_contract", f"WITH {FRAMES}, r AS (SELECT source_id, CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 103 = 0 THEN -1 WHEN event_id % 107 = 0 AND idx > 0 THEN idx - 1 ELSE idx END AS idx FROM frames) SELECT source_id, count(*) AS frames, count(*) FILTER (WHERE idx IS NULL) AS missing, count(*) FILTER (WHERE idx < 0) AS negative, count(idx) - count(DISTINCT idx) AS repeated FROM r GROUP BY source_id")
 def v04(spark, sf_dir):
-    """Rows that break the contract (a negative or missing index) are errors, never dropped."""
-    sound = F.when(F.col("idx").isNull() | (F.col("idx") < 0), F.raise_error(F.lit("frame without index"))).otherwise(F.lit(True))
-    return frames(spark, sf_dir).where(sound).groupBy("source_id").agg(F.count("*").alias("frames"))
+    """Rows that break the contract are counted; catalog.checked_indices makes them errors."""
+    broken = F.when(F.col("event_id") % 101 == 0, None).when(F.col("event_id") % 103 == 0, -1).when((F.col("event_id") % 107 == 0) & (F.col("idx") > 0), F.col("idx") - 1).otherwise(F.col("idx"))
+    return catalog.index_faults(frames(spark, sf_dir).select("source_id", broken.cast("long").alias("idx")), "source_id", "idx")
 
 
 @query("a29_validation_report", f"WITH e AS ({CHECKS.replace('WITH ', 'WITH ', 1)}) SELECT coalesce(error, 'ok') AS outcome, count(*) AS sources FROM e GROUP BY ALL")
@@ -454,3 +464,12 @@ def s11(spark, sf_dir):
 def s07(spark, sf_dir):
     columns.write_frames(frames(spark, sf_dir).select("source_id", "idx", "event_id", "value"), path := _written(spark, "frames"))
     return spark.read.parquet(path).select("source_id", "idx", "event_id")
+
+
+@query("s12_html_report", "SELECT n_nationkey, n_name FROM nation")
+def s12_report(spark, sf_dir):
+    """The report written and its table read back: the page holds every row."""
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    manifests.write_html_table(rows, "Nations", path := _written(spark, "report"))
+    cell = lambda k: F.regexp_extract("value", r"^<tr><td>(.*?)</td><td>(.*?)</td></tr>$", k)
+    return spark.read.text(path).where("value like '<tr><td>%'").select(cell(1).cast(rows.schema[0].dataType).alias("n_nationkey"), cell(2).alias("n_name"))

@@ -209,13 +209,43 @@ def a30(spark, sf_dir):
     return found.select("frame_id", "rank", *(F.round(c, 4).alias(c) for c in ("score", "cx", "cy", "w", "h")))
 
 
-@query("g09_detection_decode", f"WITH {POINTS} SELECT vec_id, round(greatest(-0.25 * 640, least(1.25 * 640, (CAST(e[1] AS DOUBLE) * 128 - 10) / 0.2 - CAST(e[3] AS DOUBLE) * 128 / 0.2 / 2)), 6) AS x1, round(greatest(-0.25 * 640, least(1.25 * 640, (CAST(e[1] AS DOUBLE) * 128 - 10) / 0.2 + CAST(e[3] AS DOUBLE) * 128 / 0.2 / 2)), 6) AS x2 FROM points")
+# eight vectors are a frame, and each gives four candidates around one of 64 cells: sixteen numbers, the last also as the logit
+HEADS = "heads AS (SELECT vec_id // 8 AS frame_id, 512 + (vec_id * 4 + j) % 6 + 6 * (vec_id // 8 % 64) AS anchor_id, vec_id, j, CAST(embedding[16 * j + 16] AS DOUBLE) * 20 AS logit, [CAST(embedding[16 * j + k + 1] AS DOUBLE) * 64 + CASE WHEN k IN (2, 3) THEN 40 ELSE 0 END for k in range(0, 16)] AS raw FROM embeddings, generate_series(0, 3) t(j))"
+ANCHOR_SQL = "anchors AS (SELECT 512 + i AS anchor_id, (CAST(c % 8 AS DOUBLE) + 0.5) / 8 AS x, (CAST(c // 8 AS DOUBLE) + 0.5) / 8 AS y FROM (SELECT i, i // 6 AS c FROM generate_series(0, 383) t(i)))"
+FACE = f"""WITH {HEADS}, {ANCHOR_SQL}, det AS (SELECT frame_id, vec_id * 4 + j AS detection_id, CASE WHEN logit BETWEEN 0 AND 1 THEN logit ELSE 1 / (1 + exp(-logit)) END AS score, raw[1] / 128 + x AS cx, raw[2] / 128 + y AS cy, raw[3] / 128 AS w, raw[4] / 128 AS h,
+  {', '.join(f"raw[{5 + k}] / 128 + {'xy'[k % 2]} AS {n}" for k, n in enumerate(geometry.KEYPOINTS))} FROM heads JOIN anchors USING (anchor_id)),
+sure AS (SELECT * FROM det WHERE score >= 0.5), best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY score DESC, detection_id) AS k FROM sure) WHERE k = 1),
+o AS (SELECT s.*, greatest(0, least(s.cx + s.w / 2, b.cx + b.w / 2) - greatest(s.cx - s.w / 2, b.cx - b.w / 2)) * greatest(0, least(s.cy + s.h / 2, b.cy + b.h / 2) - greatest(s.cy - s.h / 2, b.cy - b.h / 2)) AS common, s.w * s.h + b.w * b.h AS areas FROM sure s JOIN best b USING (frame_id)),
+m AS (SELECT frame_id, count(*) AS members, {', '.join(f'sum({c} * score) / sum(score) AS {c}' for c in ('cx', 'cy', 'w', 'h', *geometry.KEYPOINTS))} FROM o WHERE common / greatest(areas - common, 1e-9) > 0.3 GROUP BY frame_id)
+SELECT frame_id, members, {', '.join(f"round(greatest({-0.25 * e}, least({1.25 * e}, (c{a} * 128 - {p}) / 0.2 {s} {d} * 128 / 0.2 / 2)), 4) AS {a}{i}" for i, s in ((1, '-'), (2, '+')) for a, d, p, e in (('x', 'w', 0, 640), ('y', 'h', 28, 360)))},
+  {', '.join(f"round(({n} * 128 - {28 if n[1] == 'y' else 0}) / 0.2, 4) AS {n}" for n in geometry.KEYPOINTS)} FROM m"""
+FITTED = (0.2, 0.0, 28.0, 640.0, 360.0)  # scale, pads, width and height of a frame of 640 x 360 in the square of 128
+
+
+def _heads(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("e"), F.explode(F.array(*map(F.lit, range(4)))).alias("j"))
+    raw = F.transform(F.slice("e", F.col("j") * 16 + 1, F.lit(16)), lambda v, k: v * 64 + F.when(k.isin(2, 3), 40.0).otherwise(0.0))
+    cell, own = F.floor(F.col("vec_id") / 8), F.col("vec_id") * 4 + F.col("j")
+    return rows.select(cell.alias("frame_id"), own.alias("own"), (512 + own % 6 + 6 * (cell % 64)).alias("anchor_id"), (F.get("e", F.col("j") * 16 + 15) * 20).alias("logit"), raw.alias("raw"))
+
+
+@query("g09_detection_decode", FACE)
 def g09(spark, sf_dir):
-    """A box in model units back to pixels of a frame 640 wide (scale 0.2, pad 10), bounded to a quarter beyond it."""
-    e = lambda k: F.get("embedding", F.lit(k)).cast("double")
-    center, half = (e(0) * 128 - 10) / 0.2, e(2) * 128 / 0.2 / 2
-    bounded = lambda v: F.round(F.greatest(F.lit(-160.0), F.least(F.lit(800.0), v)), 6)
-    return table(spark, sf_dir, "embeddings").select("vec_id", bounded(center - half).alias("x1"), bounded(center + half).alias("x2"))
+    """Heads to the primary face of each frame: scores, boxes and six keypoints from anchors, blended around the best, in pixels."""
+    heads = _heads(spark, sf_dir)
+    # a detector has one candidate for each anchor; here several vectors share one, so candidates are told apart by their own number
+    rows = geometry.face_candidates(heads.withColumnRenamed("frame_id", "f").withColumn("frame_id", F.struct("f", "own")), "frame_id")
+    rows = rows.withColumn("detection_id", F.col("frame_id.own")).withColumn("frame_id", F.col("frame_id.f"))
+    found = geometry.primary_detection(rows, "frame_id", values=(*geometry.BOX, *geometry.KEYPOINTS))
+    names = ("x1", "y1", "x2", "y2", *geometry.KEYPOINTS)
+    return geometry.in_frame(found, "frame_id", *map(F.lit, FITTED)).select("frame_id", "members", *(F.round(c, 4).alias(c) for c in names))
+
+
+@query("g09_largest_face")
+def g09_largest(spark, sf_dir):
+    """The same heads with every face kept apart, and the largest of them."""
+    found = geometry.largest_face(_heads(spark, sf_dir), "frame_id", *map(F.lit, FITTED))
+    return found.select("frame_id", "faces", *(F.round(c, 4).alias(c) for c in ("score", "x1", "y1", "x2", "y2", "kx0", "ky0", "kx5", "ky5")))
 
 
 def _channel(expr: str) -> str:

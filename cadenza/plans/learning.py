@@ -57,6 +57,23 @@ def a21(spark, sf_dir):
     return learn.cross_validated(folded, "n_chars", "positive", 5)
 
 
+POOLED = f"""WITH {LABELLED}, c AS (SELECT least(10, count(*) FILTER (WHERE positive), count(*) FILTER (WHERE NOT positive)) AS folds FROM labelled),
+folded AS (SELECT l.*, CAST((row_number() OVER (PARTITION BY positive ORDER BY doc_id) - 1) % c.folds AS INT) AS fold FROM labelled l, c),
+train AS (SELECT k.fold AS test_fold, f.n_chars, f.positive FROM folded f, (SELECT DISTINCT fold FROM folded) k WHERE f.fold <> k.fold), fitted AS (SELECT * FROM {_threshold_sql('train', 'test_fold')}),
+judged AS (SELECT f.positive, f.n_chars <= t.threshold AS said, f.fold FROM folded f JOIN fitted t ON t.test_fold = f.fold),
+p AS (SELECT count(*) FILTER (WHERE NOT positive AND NOT said) AS tn, count(*) FILTER (WHERE NOT positive AND said) AS fp, count(*) FILTER (WHERE positive AND NOT said) AS fn, count(*) FILTER (WHERE positive AND said) AS tp FROM judged)
+SELECT (SELECT count(*) FROM fitted) AS folds, tn, fp, fn, tp, round((tn / (tn + fp) + tp / (fn + tp)) / 2, 6) AS balanced_accuracy, round((tn + tp) / (tn + fp + fn + tp), 6) AS accuracy,
+  (SELECT CAST(min(threshold) AS DOUBLE) FROM fitted) AS threshold_min, (SELECT CAST(quantile_cont(threshold, 0.5) AS DOUBLE) FROM fitted) AS threshold_median, (SELECT CAST(max(threshold) AS DOUBLE) FROM fitted) AS threshold_max FROM p"""
+
+
+@query("a21_pooled_validation", POOLED)
+def a21_pooled(spark, sf_dir):
+    rows = _labelled(spark, sf_dir)
+    folds = learn.fold_count(rows, "positive")
+    done = learn.pooled(learn.cross_validated(learn.stratified_folds(rows, "positive", "doc_id", folds), "n_chars", "positive", folds))
+    return done.withColumns({c: F.round(c, 6) for c in ("balanced_accuracy", "accuracy")})
+
+
 @query("p16_decision_validation", "SELECT l.doc_id, CASE WHEN d.doc_id IS NULL THEN 'absent from manifest' WHEN l.quality NOT IN (0, 1) THEN 'unknown decision' END AS problem FROM labels l LEFT JOIN documents d USING (doc_id)")
 def p16(spark, sf_dir):
     known = table(spark, sf_dir, "documents").select("doc_id", F.lit(True).alias("found"))
@@ -107,11 +124,6 @@ def o04(spark, sf_dir):
     return numbered(queue, ["classification"], F.floor(distance / 10), [distance, "doc_id"], "place").select("doc_id", "place")
 
 
-@query("o04_review_order", f"WITH {CLASSES} SELECT doc_id, distance FROM classes WHERE classification = 'review'")
-def o04_order(spark, sf_dir):
-    return ranking.review_order(_classes(spark, sf_dir).where("classification = 'review'"), "boundary", "doc_id").select("doc_id", "distance")
-
-
 @query("p19_review_filter", f"WITH {CLASSES} SELECT doc_id, coalesce(decision, 'pending') AS decision FROM classes WHERE contains(lower(source), 'src1')")
 def p19(spark, sf_dir):
     return _classes(spark, sf_dir).where(F.lower("source").contains("src1")).select("doc_id", F.coalesce("decision", F.lit("pending")).alias("decision"))
@@ -156,32 +168,20 @@ def a22(spark, sf_dir):
     return _gaze(spark, sf_dir).select("source_id", *(F.round(c, 6).alias(c) for c in ("p95_h", "p95_v", "residual")))
 
 
-@query("a23_slope_search", f"WITH {FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 100) AS slope FROM generate_series(0, 100) t(i)), s AS (SELECT step, slope, source_id, quantile_cont(abs(gaze_h - slope * yaw), 0.95) AS p95 FROM frames, g GROUP BY ALL), l AS (SELECT step, slope, round(quantile_cont(p95, 0.5), 9) AS loss FROM s GROUP BY step, slope) SELECT step, round(slope, 6) AS slope, round(loss, 6) AS loss FROM l ORDER BY l.loss, l.step LIMIT 1")
-def a23(spark, sf_dir):
-    best = learn.slope_search(frames(spark, sf_dir), "source_id", "gaze_h", "yaw", -0.008, 0.002, 101)
-    return best.select("step", F.round("slope", 6).alias("slope"), F.round("loss", 6).alias("loss"))
-
-
-@query("j14_slope_grid", f"WITH {FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 10) AS slope FROM generate_series(0, 10) t(i)) SELECT source_id, step, round(quantile_cont(abs(gaze_h - slope * yaw), 0.95), 6) AS p95 FROM frames, g GROUP BY source_id, step, slope")
-def j14(spark, sf_dir):
-    grid = frames(spark, sf_dir).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(10)))).withColumn("slope", F.lit(-0.008) + F.col("step") * F.lit(0.010 / 10))
-    return grid.groupBy("source_id", "step").agg(F.round(F.percentile(F.abs(F.col("gaze_h") - F.col("slope") * F.col("yaw")), 0.95), 6).alias("p95"))
-
-
-#: The reference's grid (tools/enrich_camera_gaze.py:87); a23_slope_search and j14_slope_grid are coarser.
 SLOPES = 1001
+SPREADS = f"{FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 1000) AS slope FROM generate_series(0, 1000) t(i)), s AS (SELECT step, slope, source_id, quantile_cont(abs(gaze_h - slope * yaw), 0.95) AS p95 FROM frames, g GROUP BY ALL)"
 
 
-@query("a23_slope_search_whole", f"WITH {FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 1000) AS slope FROM generate_series(0, 1000) t(i)), s AS (SELECT step, slope, source_id, quantile_cont(abs(gaze_h - slope * yaw), 0.95) AS p95 FROM frames, g GROUP BY ALL), l AS (SELECT step, slope, round(quantile_cont(p95, 0.5), 9) AS loss FROM s GROUP BY step, slope) SELECT step, round(slope, 6) AS slope, round(loss, 6) AS loss FROM l ORDER BY l.loss, l.step LIMIT 1")
-def a23_whole(spark, sf_dir):
+@query("a23_slope_search", f"WITH {SPREADS}, l AS (SELECT step, slope, round(quantile_cont(p95, 0.5), 9) AS loss FROM s GROUP BY step, slope) SELECT step, round(slope, 6) AS slope, round(loss, 6) AS loss FROM l ORDER BY l.loss, l.step LIMIT 1")
+def a23(spark, sf_dir):
     best = learn.slope_search(frames(spark, sf_dir), "source_id", "gaze_h", "yaw", -0.008, 0.002, SLOPES)
     return best.select("step", F.round("slope", 6).alias("slope"), F.round("loss", 6).alias("loss"))
 
 
-@query("j14_slope_grid_whole", f"WITH {FRAMES}, g AS (SELECT CAST(i AS INT) AS step, CAST(-0.008 AS DOUBLE) + i * (CAST(0.010 AS DOUBLE) / 1000) AS slope FROM generate_series(0, 1000) t(i)) SELECT source_id, step, round(quantile_cont(abs(gaze_h - slope * yaw), 0.95), 9) AS p95 FROM frames, g GROUP BY source_id, step, slope")
-def j14_whole(spark, sf_dir):
-    grid = frames(spark, sf_dir).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(SLOPES - 1)))).withColumn("slope", F.lit(-0.008) + F.col("step") * F.lit(0.010 / (SLOPES - 1)))
-    return grid.groupBy("source_id", "step").agg(F.round(F.percentile(F.abs(F.col("gaze_h") - F.col("slope") * F.col("yaw")), 0.95), 9).alias("p95"))
+@query("j14_slope_grid", f"WITH {SPREADS} SELECT source_id, step, round(p95, 9) AS p95 FROM s")
+def j14(spark, sf_dir):
+    spreads = learn.slope_spreads(frames(spark, sf_dir), "source_id", "gaze_h", "yaw", -0.008, 0.002, SLOPES)
+    return spreads.select("source_id", F.posexplode("spreads").alias("step", "p95")).select("source_id", "step", F.round("p95", 9).alias("p95"))
 
 
 @query("a24_vertical_reference", f"WITH {GAZE} SELECT round(quantile_cont(p95_v, 0.95), 6) AS reference FROM gaze")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import html
-import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza.functions import html_escape
+
 
 def read_items(spark: SparkSession, path: str, item: T.StructType, field: str = "items") -> DataFrame:
     """The items of a manifest: one JSON document that is an array, or an object with the array in `field`."""
@@ -27,14 +28,23 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.coalesce(wrapped, F.from_json("value", kind))).alias("segment_id", "decision"))
 
 
-def write_json_document(rows: DataFrame, path: str, most: int = 100_000) -> None:
-    """One pretty JSON array, for manifests and summaries; more than `most` rows are an error (write them as JSON lines)."""
-    found = rows.limit(most + 1).toJSON().collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} rows")
-    document = json.dumps([json.loads(x) for x in found], ensure_ascii=False, indent=2)
+def _one_file(lines: DataFrame, path: str) -> None:
+    """Lines (place, value) as one text file in the order of their places: one task writes, none of it passes the driver."""
+    lines.orderBy("place").select("value").coalesce(1).write.mode("overwrite").text(path, lineSep="\n")
+
+
+def _numbered_lines(rows: DataFrame, value: Column) -> DataFrame:
+    return rows.select(F.monotonically_increasing_id().alias("place"), value.alias("value"))
+
+
+def write_json_document(rows: DataFrame, path: str) -> None:
+    """One JSON array, an item on each line, of any number of rows."""
     spark = rows.sparkSession
-    spark.createDataFrame([(document,)], "value string").coalesce(1).write.mode("overwrite").text(path, lineSep="\n")
+    items = _numbered_lines(rows, F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns))))
+    last = items.agg(F.max("place")).first()[0]
+    body = items.select("place", F.concat(F.lit("  "), F.col("value"), F.when(F.col("place") == F.lit(last), "").otherwise(",")).alias("value"))
+    ends = spark.createDataFrame([(-1, "["), ((1 << 63) - 1, "]")], "place long, value string")
+    _one_file(body.unionByName(ends), path)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -47,9 +57,12 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path, compression="gzip")
 
 
-def html_table(rows: DataFrame, title: str, most: int = 1000) -> str:
-    """A page with a table of the first `most` rows (a report is bounded by what a reader can look at)."""
-    found = rows.limit(most).collect()
+def write_html_table(rows: DataFrame, title: str, path: str) -> None:
+    """A page with a table of all rows, a line for each; executors render it."""
+    spark = rows.sparkSession
+    cells = [F.concat(F.lit("<td>"), html_escape(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))), F.lit("</td>")) for c in rows.columns]
+    body = _numbered_lines(rows, F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")))
     head = "".join(f"<th>{html.escape(c)}</th>" for c in rows.columns)
-    body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in r) + "</tr>" for r in found)
-    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{head}</tr>{body}</table>"
+    opening = f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{head}</tr>"
+    ends = spark.createDataFrame([(-1, opening), ((1 << 63) - 1, "</table>")], "place long, value string")
+    _one_file(body.unionByName(ends), path)

@@ -207,10 +207,70 @@ def test_similarity_fit_finds_known_turns():
     assert np.allclose(np.abs(angles[0]), [20, 0, 0]) and np.allclose(np.abs(angles[1]), [0, 35, 0]) and np.allclose(np.abs(angles[2]), [0, 0, 10])
 
 
-def test_suppression_merges_overlaps():
-    table = np.array([[0.9, 10, 10, 10, 10], [0.6, 11, 10, 10, 10], [0.8, 50, 50, 10, 10]], float)
-    out = geometry.suppress(table)
-    assert len(out) == 2 and np.isclose(out[0, 1], (0.9 * 10 + 0.6 * 11) / 1.5) and out[1, 1] == 50
+def common_share(a, b):
+    x = max(0, min(a[1] + a[3] / 2, b[1] + b[3] / 2) - max(a[1] - a[3] / 2, b[1] - b[3] / 2))
+    y = max(0, min(a[2] + a[4] / 2, b[2] + b[4] / 2) - max(a[2] - a[4] / 2, b[2] - b[4] / 2))
+    return x * y / max(a[3] * a[4] + b[3] * b[4] - x * y, 1e-9)
+
+
+def brute_faces(found):
+    """Groups of (score, cx, cy, w, h), best first, each merged with all that are left and overlap its best."""
+    left, out = sorted(found, key=lambda d: (-d[0], *d[1:])), []
+    while left:
+        own = [d for k, d in enumerate(left) if k == 0 or common_share(left[0], d) > 0.3]
+        total = sum(d[0] for d in own)
+        out.append((left[0][0], *(sum(d[c] * d[0] for d in own) / total for c in range(1, 5)), len(own)))
+        left = [d for k, d in enumerate(left) if k and not common_share(left[0], d) > 0.3]
+    return out
+
+
+def test_suppression_against_brute_force(spark):
+    rng = np.random.RandomState(9)
+    rows = [(f, round(float(s), 2), *map(float, x), *map(float, w)) for f in range(30) for s, x, w in zip(rng.rand(f) + 0.05, rng.randint(0, 40, (f, 2)), rng.randint(0, 20, (f, 2)))]
+    rows += [(40, 0.9, 10.0, 10.0, 10.0, 10.0), (40, 0.6, 11.0, 10.0, 10.0, 10.0), (40, 0.8, 50.0, 50.0, 10.0, 10.0), (41, 0.5, 1.0, 1.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "f int, score double, cx double, cy double, w double, h double")
+    got = {}
+    for r in geometry.all_detections(df, "f").orderBy("f", "rank").collect():
+        got.setdefault(r.f, []).append((r.score, r.cx, r.cy, r.w, r.h, r.members))
+    for f in {r[0] for r in rows}:
+        want = brute_faces([r[1:] for r in rows if r[0] == f])
+        assert len(got[f]) == len(want) and np.allclose(got[f], want), f
+
+
+def test_largest_face_against_brute_force(spark):
+    rng = np.random.RandomState(10)
+    cells = {r.anchor_id: (r.x, r.y) for r in geometry.anchors(spark).collect()}
+    rows = [(f, int(a), float(rng.randn() * 3), [float(v) for v in np.concatenate([rng.randn(2) * 6, rng.rand(2) * 60 + 5, rng.randn(12) * 20])]) for f in range(12) for a in rng.choice(896, 40, False)]
+    df = spark.createDataFrame(rows, "f int, anchor_id long, logit double, raw array<double>")
+    got = {r.f: r for r in geometry.largest_face(df, "f", *map(F.lit, (0.2, 4.0, 28.0, 600.0, 360.0))).collect()}
+    chance = lambda z: z if 0 <= z <= 1 else 1 / (1 + math.exp(-z))
+    for f in range(12):
+        sure = [(chance(z), *(v / 128 + cells[a][k % 2] for k, v in enumerate(raw[:2])), raw[2] / 128, raw[3] / 128, [v / 128 + cells[a][k % 2] for k, v in enumerate(raw[4:])]) for g, a, z, raw in rows if g == f and chance(z) >= 0.5]
+        left, faces = sorted(sure, key=lambda d: -d[0]), []
+        while left:
+            own = [d for k, d in enumerate(left) if k == 0 or common_share(left[0], d) > 0.3]
+            weights = np.array([d[0] for d in own])
+            faces.append((np.average([d[1:5] for d in own], axis=0, weights=weights), np.average([d[5] for d in own], axis=0, weights=weights)))
+            left = [d for k, d in enumerate(left) if k and not common_share(left[0], d) > 0.3]
+        box, points = max(faces, key=lambda x: x[0][2] * x[0][3])
+        cx, cy, w, h = (box[0] * 128 - 4) / 0.2, (box[1] * 128 - 28) / 0.2, box[2] * 640, box[3] * 640
+        want = [np.clip(cx - w / 2, -150, 750), np.clip(cy - h / 2, -90, 450), np.clip(cx + w / 2, -150, 750), np.clip(cy + h / 2, -90, 450), *((v * 128 - (28 if k % 2 else 4)) / 0.2 for k, v in enumerate(points))]
+        assert got[f].faces == len(faces) and np.allclose([got[f][c] for c in ("x1", "y1", "x2", "y2", *geometry.KEYPOINTS)], want)
+
+
+def test_broken_indices_are_errors(spark):
+    for bad in (None, -1):
+        rows = spark.createDataFrame([(0,), (bad,)], "idx long")
+        with pytest.raises(Exception, match="frame without index"):
+            catalog.checked_indices(rows, "idx").collect()
+
+
+def test_timeline_errors(spark):
+    expected = spark.createDataFrame([(k, i, 2 * i) for k in "abcde" for i in range(3)], "k string, target_idx long, source_idx long")
+    rows = [("a", i, 2 * i, i / 24) for i in range(3)] + [("b", i, 2 * i, i / 24) for i in range(2)] + [("c", i, 2 * i + (i == 2), i / 24) for i in range(3)]
+    rows += [("d", i, 2 * i, i / 24 + 1e-4 * (i == 1)) for i in range(3)] + [("f", 0, 0, 0.0)]
+    got = catalog.timeline_errors(expected, spark.createDataFrame(rows, "k string, target_idx long, frame long, time_s double"), "k", 24.0)
+    assert {r.k: r.error for r in got.collect()} == {"a": None, "b": "rows", "c": "frame", "d": "time_s", "e": "rows", "f": "rows"}
 
 
 def test_profiles(spark):
@@ -223,7 +283,7 @@ def test_every_order_has_a_place(spark, sf_dir):
 
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").collect()
     want = [r.o_orderkey for r in sorted(orders, key=lambda r: (-r.o_totalprice, r.o_custkey, r.o_orderkey))]
-    got = [(r.place, r.o_orderkey) for r in plans.queries()["o01_multi_key_sort_whole"](spark, sf_dir).collect()]
+    got = [(r.place, r.o_orderkey) for r in plans.queries()["o01_multi_key_sort"](spark, sf_dir).collect()]
     assert len(want) > 500 and sorted(got) == list(enumerate(want, 1))
 
 
@@ -235,7 +295,7 @@ def test_slopes_of_the_reference_against_brute_force(spark, sf_dir):
     slopes = -0.008 + np.arange(1001) * ((0.002 - -0.008) / 1000)
     p95 = np.stack([np.quantile(np.abs(g.gaze_h.to_numpy()[:, None] - slopes[None, :] * g.yaw.to_numpy()[:, None]), 0.95, axis=0) for _, g in rows.groupby("source_id")])
     loss = np.round(np.median(p95, axis=0), 9)
-    best = plans.queries()["a23_slope_search_whole"](spark, sf_dir).first()
+    best = plans.queries()["a23_slope_search"](spark, sf_dir).first()
     assert (best.step, best.slope, best.loss) == (loss.argmin(), round(slopes[loss.argmin()], 6), round(loss.min(), 6))
-    grid = plans.queries()["j14_slope_grid_whole"](spark, sf_dir)
+    grid = plans.queries()["j14_slope_grid"](spark, sf_dir)
     assert grid.count() == 1001 * rows.source_id.nunique()

@@ -8,7 +8,7 @@ from cadenza import plans
 from cadenza.plans import segmentation
 
 QUERIES = plans.queries()
-PYTHON = {"s03_edge_digest", "g02_similarity_fit", "a30_all_detections"}
+PYTHON = {"s03_edge_digest", "g02_similarity_fit", "a23_slope_search", "j14_slope_grid"}
 
 
 def physical(df) -> str:

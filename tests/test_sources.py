@@ -65,7 +65,17 @@ def test_manifests_and_sinks(spark, tmp_path):
     manifests.write_json_document(rows, f"file://{tmp_path}/doc")
     part = next(p for p in os.listdir(tmp_path / "doc") if p.startswith("part"))
     assert json.loads((tmp_path / "doc" / part).read_text()) == [{"name": "é", "n": 1}]
-    assert "<td>é</td>" in manifests.html_table(rows, "t")
+    manifests.write_json_document(rows.limit(0), f"file://{tmp_path}/none")
+    part = next(p for p in os.listdir(tmp_path / "none") if p.startswith("part"))
+    assert json.loads((tmp_path / "none" / part).read_text()) == []
+    many = spark.range(2500).select("id", F.concat(F.lit("<&"), "id").alias("v"))
+    manifests.write_html_table(many, "t<", f"file://{tmp_path}/page")
+    part = next(p for p in os.listdir(tmp_path / "page") if p.startswith("part"))
+    page = (tmp_path / "page" / part).read_text()
+    assert "<title>t&lt;</title>" in page and page.count("<tr><td>") == 2500 and "<td>&lt;&amp;2499</td>" in page
+    manifests.write_json_document(many, f"file://{tmp_path}/docs")
+    part = next(p for p in os.listdir(tmp_path / "docs") if p.startswith("part"))
+    assert [x["id"] for x in json.loads((tmp_path / "docs" / part).read_text())] == list(range(2500))
 
 
 class Fake:
