@@ -23,7 +23,7 @@ TRACK = {
     "pitch": "CAST(abs((idx + source_id * 3) % 160 - 80) - 40 AS DOUBLE) / 2",
     "yaw": "CAST(abs((idx + source_id * 11) % 200 - 100) - 50 AS DOUBLE) * 3 / 4",
     "roll": "CAST(abs((idx + source_id) % 120 - 60) - 30 AS DOUBLE) / 2",
-    "gaze_h": "CAST(abs((idx + source_id * 17) % 60 - 30) - 15 AS DOUBLE) / 100",
+    "gaze_h": "CAST(abs((idx + source_id * 17) % 60 - 30) - 15 AS DOUBLE) / 150",
     "gaze_v": "CAST(abs((idx + source_id * 2) % 100 - 50) - 20 AS DOUBLE) / 400",
     "left_open": "CASE WHEN event_id % 43 <> 0 THEN CAST(3 + (idx + source_id) % 9 AS DOUBLE) / 12 END",
     "right_open": "CASE WHEN event_id % 47 <> 0 THEN CAST(1 AS DOUBLE) / 2 END",
