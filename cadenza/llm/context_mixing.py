@@ -1,8 +1,9 @@
 """Language-model scores by online logistic context mixing.
 
-A text is its lower-cased words and one end, and every token is a run of binary decisions: whether it is one of the
-training words met twice or more; if so, the bits of its place in the order of their counts, a 5-bit size and then as
-many bits; if not, its bytes and a terminator, each byte a path through one prefix code. The probability of a text is
+A text is its lower-cased words and one end, and every token is a run of binary decisions. First a path through a
+prefix code: it ends in `other`, or in the size of the place of a training word met twice or more in the order of their
+counts, and that many bits of the place follow; an `other` word is spelled, its bytes and a terminator, each byte a path through
+another prefix code. The probability of a text is
 the product over its decisions.
 
 * Predictors: four tables, each with a bin or more for every (word, class) counted, hold how often each bit followed a hashed context in training. In the
@@ -48,6 +49,8 @@ KNOWN_WORDS = 5_000_000
 #: (word, class) rows entered by one task, and decisions that it holds at once.
 ROWS_PER_TABLE, HELD = 1_500_000, 8 << 20
 TERMINATOR, END = 32, 10
+#: Symbols of the first path: `other`, and sizes of places.
+OTHER, SIZES = 0, 32
 #: Bits of a place that see the class; those further on differ little between classes.
 CLASS_DEPTH = 12
 #: Weights at the start of a text: for places (a context of the class unseen or seen), and for spelling (six bytes unseen or seen).
@@ -58,25 +61,25 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code length of each of 256 bytes, and its path: the node and the bit at each step. Every byte has a code."""
+    """Code length of each symbol, and its path: the node and the bit at each step. Symbols that don't occur have a code too."""
+    symbols = new = len(counts)
     heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
     heapq.heapify(heap)
     parent: dict[int, tuple[int, int]] = {}
-    new = 256
     while len(heap) > 1:
         (a, _, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
         parent[x], parent[y] = (new, 0), (new, 1)
         heapq.heappush(heap, (a + b, new, new))
         new += 1
     paths = []
-    for s in range(256):
+    for s in range(symbols):
         path, at = [], s
         while at in parent:
             at, bit = parent[at]
-            path.append((at - 256, bit))
+            path.append((at - symbols, bit))
         paths.append(path[::-1])
     size = np.array([len(p) for p in paths], np.int64)
-    node, bit = np.zeros((256, size.max()), np.uint64), np.zeros((256, size.max()), np.uint8)
+    node, bit = np.zeros((symbols, size.max()), np.uint64), np.zeros((symbols, size.max()), np.uint8)
     for s, path in enumerate(paths):
         for k, (n, b) in enumerate(path):
             node[s, k], bit[s, k] = n, b
@@ -133,6 +136,7 @@ class Vocabulary:
         place[order] = np.arange(len(hashes)) - ((1 << size[order]) - 1)
         by_hash = np.argsort(hashes)
         self.hashes, self.size, self.place, self.kind = hashes[by_hash], size[by_hash].astype(np.int8), place[by_hash].astype(np.int32), kinds[by_hash].astype(np.int32)
+        self.tokens = np.bincount(size, weights=counts, minlength=SIZES)  # by size
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Whether each hash has a place, its size and bits, and the word's commonest class."""
@@ -168,19 +172,21 @@ class Decisions:
         self.n, self.begin, self.bins, self.bit = n, np.cumsum(n) - n, bins, bit
 
 
-def placed(kind: np.ndarray, known: np.ndarray, size: np.ndarray, place: np.ndarray, bits: int = TABLE_BITS) -> Decisions:
-    """Whether each word has a place and, if so, the five bits of its size and those of the place."""
-    n = np.where(known, 6 + size, 1)
-    word, step = _runs(n)
-    b, depth = size[word], step - 6
+def placed(kind: np.ndarray, known: np.ndarray, size: np.ndarray, place: np.ndarray, code, bits: int = TABLE_BITS) -> Decisions:
+    """The path to the size of each word's place, or to `other`, and the bits of the place."""
+    length, node, path = code
+    symbol = np.where(known, size + 1, OTHER)
+    word, step = _runs(length[symbol] + np.where(known, size, 0))
+    own = symbol[word]
+    depth = step - length[own]
     deep = depth >= 0
-    left = np.where(deep, b - depth, 6 - step)  # bits from this one on
-    source = np.where(deep, place[word], b | 32)  # before the size comes a 1
-    bit = ((source >> (left - 1)) & known[word]).astype(np.uint8)
-    node = (np.where(deep, b + 1, 0) << 40 | step << 32 | source >> left).astype(np.uint64)
-    classed = _bin(node + (kind[word].astype(np.uint64) + np.uint64(1)) * _CLASS, bits)
+    left = np.where(deep, size[word] - depth, 1)  # bits from this one on
+    on_path = np.minimum(step, node.shape[1] - 1)
+    bit = np.where(deep, place[word] >> (left - 1) & 1, path[own, on_path]).astype(np.uint8)
+    context = np.where(deep, own << 40 | depth << 32 | place[word] >> left, node[own, on_path].astype(np.int64)).astype(np.uint64)
+    classed = _bin(context + (kind[word].astype(np.uint64) + np.uint64(1)) * _CLASS, bits)
     classed[depth > CLASS_DEPTH] = _NONE
-    return Decisions(n, [_bin(node, bits), classed], bit)
+    return Decisions(np.bincount(word, minlength=len(kind)), [_bin(context, bits), classed], bit)
 
 
 def spelled(raw: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray, code, bits: int = TABLE_BITS) -> Decisions:
@@ -292,7 +298,7 @@ class _Counts:
 
 def _tabled(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, vocabulary, bits = shared.value
+        (bytes_code, sizes_code), vocabulary, bits = shared.value
         sums = _Counts(bits)
         for batch in batches:
             raw, start, end = _joined(batch.column(1))
@@ -300,10 +306,10 @@ def _tabled(shared):
             for i in range(0, len(n), 20_000):
                 own = slice(i, i + 20_000)
                 known, place_bits, place, commonest = vocabulary.find(h[own])
-                sums.enter(placed(kind[own], known, place_bits, place, bits), n[own])
+                sums.enter(placed(kind[own], known, place_bits, place, sizes_code, bits), n[own])
                 # how frequent words are spelled says how new ones are: each counts once there, in its commonest class
                 use = np.flatnonzero(~known | ((commonest == kind[own]) & (h[own] != _END_HASH)))
-                sums.enter(spelled(raw, start[own][use], end[own][use], kind[own][use], code, bits), np.where(known[use], 1, n[own][use]))
+                sums.enter(spelled(raw, start[own][use], end[own][use], kind[own][use], bytes_code, bits), np.where(known[use], 1, n[own][use]))
                 if sums.held > HELD:
                     yield from sums.flush()
         yield from sums.flush()
@@ -323,7 +329,7 @@ def _summed(table: pa.Table) -> pa.Table:
 
 
 class Model:
-    """Prefix code, quantised tables, token counts, and the counts of known words (None if there are too many to hold)."""
+    """Prefix codes of bytes and sizes, quantised tables, token counts, and the counts of known words (None if there are too many to hold)."""
 
     def __init__(self, code, vocabulary: Vocabulary, tables: np.ndarray, tokens: int, distinct: int, hashes: np.ndarray | None, counts: np.ndarray | None) -> None:
         self.code, self.vocabulary, self.tables, self.tokens, self.distinct, self.hashes, self.counts = code, vocabulary, tables, tokens, distinct, hashes, counts
@@ -343,9 +349,9 @@ class Model:
         known, size, place, _ = self.vocabulary.find(h)
         others = np.flatnonzero(~known)
         bits = self.tables.shape[1].bit_length() - 1
-        places = _Mixer(lambda i: placed(kind[i], known[i], size[i], place[i], bits), len(h), self.tables, START[0], 1, rows)
+        places = _Mixer(lambda i: placed(kind[i], known[i], size[i], place[i], self.code[1], bits), len(h), self.tables, START[0], 1, rows)
         start, end = t.start[first][others], t.end[first][others]
-        spelling = _Mixer(lambda i: spelled(t.raw, start[i], end[i], kind[others[i]], self.code, bits), len(others), self.tables, START[1], 3, rows)
+        spelling = _Mixer(lambda i: spelled(t.raw, start[i], end[i], kind[others[i]], self.code[0], bits), len(others), self.tables, START[1], 3, rows)
         other = np.full(len(h), -1)
         other[others] = np.arange(len(others))
         order = np.argsort(t.chunk, kind="stable")
@@ -369,22 +375,19 @@ class _Mixer:
 
     def __init__(self, of, words: int, tables: np.ndarray, start: np.ndarray, by: int, rows: int) -> None:
         parts = [self._inputs(of(np.arange(i, min(words, i + self.STEP))), tables) for i in range(0, words, self.STEP)]
-        none = np.zeros(0, np.float32)
         self.n = np.concatenate([n for n, _ in parts]) if parts else np.zeros(0, np.int64)
         self.begin = np.cumsum(self.n) - self.n
-        self.inputs = [np.concatenate([x[m] for _, x in parts]) if parts else none for m in range(start.shape[1])]
-        self.gate = self.inputs[by] != 0
-        self.weights = np.tile(start, (rows, 1, 1))
+        self.inputs = np.concatenate([x for _, x in parts]) if parts else np.zeros((0, start.shape[1]), np.float32)
+        self.by, self.weights = by, np.tile(start, (rows, 1, 1))
 
     @staticmethod
-    def _inputs(d: Decisions, tables: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    def _inputs(d: Decisions, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sign = (d.bit.astype(np.float32) * 2 - 1) * np.float32(1 / SCALE)
-        inputs = []
+        inputs = np.empty((len(d.bit), len(d.bins)), np.float32)
         for m, bins in enumerate(d.bins):
-            x = tables[m][bins]
+            np.multiply(tables[m].take(bins, mode="wrap"), sign, out=inputs[:, m])
             if m == 1:
-                x[bins < 0] = 0
-            inputs.append(x * sign)
+                inputs[bins < 0, m] = 0
         return d.n, inputs
 
     def code(self, word: np.ndarray, row: np.ndarray, out: np.ndarray) -> None:
@@ -395,25 +398,23 @@ class _Mixer:
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         here, begin = row[first], (np.cumsum(n) - n)[first]  # rows, and where their decisions begin
         size = np.diff(np.append(begin, len(at)))
-        gate = self.gate.take(at).astype(np.int64)
+        x = self.inputs.take(at, axis=0)
+        gate = x[:, self.by] != 0
         weights = self.weights[here]
         slot = np.repeat(np.arange(0, 2 * len(here), 2), size)
         slot += gate
-        x = [i.take(at) for i in self.inputs]
-        z = x[0] * weights[:, :, 0].ravel().take(slot)
-        for m in range(1, len(x)):
-            z += x[m] * weights[:, :, m].ravel().take(slot)
-        e = np.exp(np.minimum(-z, np.float32(60)))
+        e = np.einsum("ij,ij->i", x, weights.reshape(-1, x.shape[1]).take(slot, axis=0))
+        np.exp(np.minimum(np.negative(e, out=e), np.float32(60), out=e), out=e)
         more = 1 + e
-        out[here] += np.add.reduceat(np.log(more), begin)
         e /= more
-        seen = np.add.reduceat(gate, begin)
+        out[here] += np.add.reduceat(np.log(more, out=more), begin)
+        x *= e[:, None]
+        all_of = np.add.reduceat(x, begin, axis=0)
+        x *= gate[:, None]
+        of_seen, seen = np.add.reduceat(x, begin, axis=0), np.add.reduceat(gate, begin, dtype=np.int64)
         step = (RATE / np.sqrt(np.stack([size - seen, seen], axis=1) + 1)).astype(np.float32)
-        e_seen = e * gate.astype(np.float32)
-        for m, i in enumerate(x):
-            with_seen = np.add.reduceat(e_seen * i, begin)
-            weights[:, 1, m] += step[:, 1] * with_seen
-            weights[:, 0, m] += step[:, 0] * (np.add.reduceat(e * i, begin) - with_seen)
+        weights[:, 1] += step[:, 1, None] * of_seen
+        weights[:, 0] += step[:, 0, None] * (all_of - of_seen)
         self.weights[here] = weights
 
 
@@ -428,11 +429,12 @@ def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) ->
     by_byte = np.zeros(256, np.int64)
     for r in histogram:
         by_byte[r["byte"]] = r["n"]
-    code = prefix_code(by_byte)
     bits = table_bits(rows)
     tables = np.zeros((MODELS, 1 << bits), np.int8)
     top = counts.where("n > 1").toArrow()
     vocabulary = Vocabulary(top.column("hash").to_numpy().view(np.uint64), top.column("n").to_numpy(), top.column("kind").to_numpy())
+    once = distinct - len(vocabulary.hashes)  # as many words are met once as new ones are to be expected
+    code = prefix_code(by_byte), prefix_code(np.concatenate([[once], vocabulary.tokens[: SIZES - 1]]))
     shared = spark.sparkContext.broadcast((code, vocabulary, bits))
     dealt = gathered.select("kind", "word", "n", "hash").repartition(max(1, -(-rows // ROWS_PER_TABLE)))
     partial = dealt.mapInArrow(_tabled(shared), "model int, part int, steps binary, counts binary")

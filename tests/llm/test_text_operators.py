@@ -289,7 +289,8 @@ def test_decisions_are_a_code():
     hashes = np.arange(1, 200, dtype=np.uint64) * np.uint64(7919)
     voc = context_mixing.Vocabulary(hashes, np.arange(199, 0, -1), np.zeros(199, np.int64))
     known, size, place, _ = voc.find(hashes)
-    d = context_mixing.placed(np.zeros(199, np.int64), known, size, place)
+    sizes = context_mixing.prefix_code(np.concatenate([[30], voc.tokens[: context_mixing.SIZES - 1]]))
+    d = context_mixing.placed(np.zeros(199, np.int64), known, size, place, sizes)
     codes = {"".join(map(str, d.bit[b : b + n])) for b, n in zip(d.begin, d.n)}
     assert len(codes) == 199 and not any(a != b and b.startswith(a) for a in codes for b in codes)
     length, node, bit = context_mixing.prefix_code(np.arange(256))
@@ -297,6 +298,40 @@ def test_decisions_are_a_code():
     assert len(paths) == 256 and abs(sum(2.0 ** -len(p) for p in paths) - 1) < 1e-12
 
 
+def test_costs_against_a_loop_over_bits(spark):
+    """Every decision of every token in turn: inputs from the tables, one weighted sum, one cost; weights move after each chunk."""
+    texts = [r[1] or "" for r in ROWS if r[1] is None or len(r[1]) < 3000]
+    model, _ = context_mixing.train(spark.createDataFrame([(t,) for t in texts[::2]], "text string"), Scratch(spark, "test"))
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    t = context_mixing.Tokens(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    first, inverse, _ = t.distinct()
+    got = model.costs(t, first, inverse, len(texts))
+    bits = model.tables.shape[1].bit_length() - 1
+    for row in range(len(texts)):
+        own = np.flatnonzero(t.row == row)
+        weights, total = [w.astype(float) for w in (*context_mixing.START,)], 0.0
+        for begin in range(0, len(own), context_mixing.CHUNK):
+            moves, counts = [np.zeros_like(w) for w in weights], [np.zeros(2), np.zeros(2)]
+            for k in own[begin : begin + context_mixing.CHUNK]:
+                one = slice(k, k + 1)
+                known, size, place, _ = model.vocabulary.find(t.hash[one])
+                runs = [(0, 1, context_mixing.placed(t.kind[one], known, size, place, model.code[1], bits))]
+                if not known[0]:
+                    runs.append((1, 3, context_mixing.spelled(t.raw, t.start[one], t.end[one], t.kind[one], model.code[0], bits)))
+                for which, by, d in runs:
+                    for i, bit in enumerate(d.bit):
+                        x = np.array([0.0 if b[i] < 0 else float(model.tables[m][b[i]]) / context_mixing.SCALE for m, b in enumerate(d.bins)])
+                        gate = int(x[by] != 0)
+                        p = 1 / (1 + np.exp(-(weights[which][gate] * x).sum()))  # that the bit is 1
+                        total -= np.log(p if bit else 1 - p)
+                        moves[which][gate] += x * (bit - p)
+                        counts[which][gate] += 1
+            for w, m, n in zip(weights, moves, counts):
+                w += context_mixing.RATE / np.sqrt(n[:, None] + 1) * m
+        assert abs(total - got[row]) < 1e-3 * max(1, total), row
+
+
 def test_scores_beat_the_unigram_on_more_text(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
     row = context_mixing.score_texts(df).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
