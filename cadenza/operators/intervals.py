@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cadenza.functions import clip, finite, half_even
 from cadenza.operators.numbering import numbered
@@ -18,6 +21,36 @@ def quantile(x: Column, q: float) -> Column:
     return F.percentile(finite(x), F.lit(q))
 
 
+#: Rows that one task may order whole, and on either side of a quantile the share of larger tables that it does.
+SMALL, MARGIN, ACCURACY = 20_000, 3e-4, 10_000
+
+
+def global_quantile(rows: DataFrame, x: Column, q: float, out: str) -> DataFrame:
+    """One row: the interpolated q quantile of the finite values of a whole table, exactly.
+
+    Sketches bound the quantile from both sides with a rank error of 1 / ACCURACY; what lies below is counted, and only the
+    values between the bounds, about 2 * MARGIN of the table, are put in order. Null without values.
+    """
+    known = rows.select(finite(x).cast("double").alias("x")).where("x IS NOT NULL")
+    at = [max(0.0, q - MARGIN), min(1.0, q + MARGIN)]
+    sketch = known.agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"), F.percentile_approx("x", at, ACCURACY).alias("b"))
+    few = F.col("n") <= SMALL
+    bounds = sketch.select("n", F.when(few, F.col("least")).otherwise(F.get("b", F.lit(0))).alias("low"), F.when(few, F.col("most")).otherwise(F.get("b", F.lit(1))).alias("high"))  # one row
+    both = known.crossJoin(F.broadcast(bounds)).where("x <= high")
+    counts = both.groupBy(F.when(F.col("x") >= F.col("low"), F.col("x")).alias("x")).agg(F.count("*").alias("c"), F.first("n").alias("n"))  # below the bounds: one null
+    upto = counts.withColumn("upto", F.sum("c").over(W.orderBy(F.col("x").asc_nulls_first())))
+    place = F.lit(float(q)) * (F.col("n") - 1)
+    first = lambda k: F.min(F.when(F.col("upto") > k, F.col("x")))
+    ends = upto.agg(first(F.floor(place)).alias("a"), first(F.ceil(place)).alias("b"), F.first(place - F.floor(place)).alias("f"))
+    return ends.select((F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias(out))
+
+
+def global_quantiles(rows: DataFrame, wanted: dict[str, tuple[Column, float]]) -> DataFrame:
+    """One row with a column for each (values, q)."""
+    found = [global_quantile(rows, x, q, name) for name, (x, q) in wanted.items()]
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), found)
+
+
 def ratio(flag: Column) -> Column:
     """Share of rows where flag is set; 0 without rows."""
     return F.coalesce(F.avg(F.coalesce(flag, F.lit(False)).cast("double")), F.lit(0.0))

@@ -114,7 +114,7 @@ def p05(spark, sf_dir):
 @query("p06_baseline_deltas", f"WITH {FRAMES}, b AS (SELECT quantile_cont(gaze_h, 0.5) AS gaze_h, quantile_cont(gaze_v, 0.5) AS gaze_v, quantile_cont(pitch, 0.5) AS pitch FROM frames) SELECT event_id, round(CASE WHEN f.left_open IS NOT NULL THEN f.gaze_h - b.gaze_h END, 6) AS delta_horizontal, round(CASE WHEN f.left_open IS NOT NULL THEN f.gaze_v - b.gaze_v END, 6) AS delta_vertical, round(f.pitch - b.pitch, 6) AS delta_pitch FROM frames f, b")
 def p06(spark, sf_dir):
     rows = frames(spark, sf_dir)
-    base = rows.agg(*(intervals.median(F.col(c)).alias(f"base_{c}") for c in ("gaze_h", "gaze_v", "pitch")))  # one row
+    base = intervals.global_quantiles(rows, {f"base_{c}": (F.col(c), 0.5) for c in ("gaze_h", "gaze_v", "pitch")})  # one row
     both = rows.crossJoin(F.broadcast(base))
     eye = lambda c: F.round(F.when(F.col("left_open").isNotNull(), F.col(c) - F.col(f"base_{c}")), 6)
     return both.select("event_id", eye("gaze_h").alias("delta_horizontal"), eye("gaze_v").alias("delta_vertical"), F.round(F.col("pitch") - F.col("base_pitch"), 6).alias("delta_pitch"))
@@ -278,8 +278,10 @@ def a26(spark, sf_dir):
 @query("a25_calibration", f"WITH {FRAMES} SELECT round(quantile_cont(gaze_h, 0.5), 6) AS gaze_h, round(quantile_cont(gaze_v, 0.5), 6) AS gaze_v, round(quantile_cont(pitch, 0.5), 6) AS pitch, round(quantile_cont(yaw, 0.5), 6) AS yaw, round(quantile_cont(roll, 0.5), 6) AS roll, count(*) AS samples FROM frames")
 def a25(spark, sf_dir):
     fields = ("gaze_h", "gaze_v", "pitch", "yaw", "roll")
-    middle = [F.when(F.count(c) == 0, F.raise_error(F.lit(f"no value of {c}")).cast("double")).otherwise(F.round(intervals.median(F.col(c)), 6)).alias(c) for c in fields]
-    return frames(spark, sf_dir).agg(*middle, F.count("*").alias("samples"))
+    rows = frames(spark, sf_dir)
+    middle = intervals.global_quantiles(rows, {c: (F.col(c), 0.5) for c in fields})
+    known = [F.when(F.col(c).isNull(), F.raise_error(F.lit(f"no value of {c}")).cast("double")).otherwise(F.round(c, 6)).alias(c) for c in fields]
+    return middle.crossJoin(F.broadcast(rows.agg(F.count("*").alias("samples")))).select(*known, "samples")
 
 
 @query("a27_run_aggregates", f"WITH {DONE}, p AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') SELECT count(*) AS sources, bool_and(complete) AS all_complete, round(sum(fps), 6) AS fps, count(*) FILTER (WHERE l_orderkey IN (SELECT o_orderkey FROM p)) AS dispatched FROM done")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.functions import clock, html_escape
-from cadenza.operators import catalog, learn, ranking
+from cadenza.operators import catalog, intervals, learn, ranking
 from cadenza.operators.numbering import numbered
 from cadenza.plans._registry import FRAMES, frames, query, table
 
@@ -186,12 +186,12 @@ def j14(spark, sf_dir):
 
 @query("a24_vertical_reference", f"WITH {GAZE} SELECT round(quantile_cont(p95_v, 0.95), 6) AS reference FROM gaze")
 def a24(spark, sf_dir):
-    return _gaze(spark, sf_dir).agg(F.round(F.percentile("p95_v", 0.95), 6).alias("reference"))
+    return intervals.global_quantile(_gaze(spark, sf_dir), F.col("p95_v"), 0.95, "reference").select(F.round("reference", 6).alias("reference"))
 
 
 @query("p18_gaze_risk", f"WITH {GAZE} SELECT source_id, round(CASE WHEN residual IS NOT NULL THEN greatest(residual / 0.25, p95_v / (SELECT quantile_cont(p95_v, 0.95) FROM gaze)) END, 6) AS risk FROM gaze")
 def p18(spark, sf_dir):
     rows = _gaze(spark, sf_dir)
-    reference = rows.agg(F.percentile("p95_v", 0.95).alias("reference"))  # one row
+    reference = intervals.global_quantile(rows, F.col("p95_v"), 0.95, "reference")  # one row
     both = rows.crossJoin(F.broadcast(reference))
     return both.select("source_id", F.round(learn.gaze_risk(F.col("residual"), F.lit(0.25), F.col("p95_v"), F.col("reference")), 6).alias("risk"))

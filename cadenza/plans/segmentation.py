@@ -136,7 +136,7 @@ def w11(spark, sf_dir):
 @query("w12_delta_traces", f"WITH {FRAMES}, d AS (SELECT source_id, idx, gaze_h - (SELECT quantile_cont(gaze_h, 0.5) FROM frames) AS delta FROM frames) SELECT source_id, idx, round(CASE WHEN count(delta) OVER s >= 3 THEN quantile_cont(delta, 0.5) OVER s END, 6) AS delta_smooth, round(CASE WHEN count(delta) OVER l >= 5 THEN quantile_cont(delta, 0.1) OVER l END, 6) AS delta_p10, round(CASE WHEN count(delta) OVER l >= 5 THEN quantile_cont(delta, 0.9) OVER l END, 6) AS delta_p90 FROM d WINDOW s AS (PARTITION BY source_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING), l AS (PARTITION BY source_id ORDER BY idx ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING)")
 def w12(spark, sf_dir):
     rows = frames(spark, sf_dir)
-    baseline = rows.agg(intervals.median(F.col("gaze_h")).alias("base"))  # one row
+    baseline = intervals.global_quantile(rows, F.col("gaze_h"), 0.5, "base")  # one row
     rows = traces.smooth(rows.crossJoin(F.broadcast(baseline)).withColumn("delta", F.col("gaze_h") - F.col("base")), "source_id", "delta")
     return rows.select("source_id", "idx", *(F.round(c, 6).alias(c) for c in ("delta_smooth", "delta_p10", "delta_p90")))
 

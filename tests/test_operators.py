@@ -299,3 +299,16 @@ def test_slopes_of_the_reference_against_brute_force(spark, sf_dir):
     assert (best.step, best.slope, best.loss) == (loss.argmin(), round(slopes[loss.argmin()], 6), round(loss.min(), 6))
     grid = plans.queries()["j14_slope_grid"](spark, sf_dir)
     assert grid.count() == 1001 * rows.source_id.nunique()
+
+
+def test_global_quantiles_are_exact(spark, monkeypatch):
+    rng = np.random.RandomState(11)
+    values = np.concatenate([rng.standard_cauchy(4000), np.repeat([0.25, 0.5], 700), [np.nan, np.inf]])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    want = {q: np.quantile(values[np.isfinite(values)], q) for q in (0.0, 0.2, 0.5, 0.95, 1.0)}
+    for small in (20_000, 100):
+        monkeypatch.setattr(intervals, "SMALL", small)
+        monkeypatch.setattr(intervals, "MARGIN", 0.01)
+        for q, x in want.items():
+            assert math.isclose(intervals.global_quantile(df, F.col("v"), q, "m").first().m, x, rel_tol=1e-12), (small, q)
+    assert intervals.global_quantile(df.limit(0), F.col("v"), 0.5, "m").first().m is None

@@ -8,7 +8,7 @@ from cadenza import plans
 from cadenza.plans import segmentation
 
 QUERIES = plans.queries()
-PYTHON = {"s03_edge_digest", "g02_similarity_fit", "a23_slope_search", "j14_slope_grid"}
+PYTHON = {"s03_edge_digest", "g02_similarity_fit", "a23_slope_search", "j14_slope_grid", "w15_lane_position", "x01_node_partition", "x02_weighted_lanes", "x03_plain_lanes"}
 
 
 def physical(df) -> str:
