@@ -136,6 +136,13 @@ def test_url_rules_and_model_against_brute_force(spark):
     assert {v for *_, r, v in got if r is None} == {"allow", "block"}
 
 
+def test_a_very_long_url(spark):
+    urls = [*URLS, "https://shop.net/" + "cheap/" * 8000, "https://example.net/en/" + "read/" * 8000, "https://b.xyz/" + "x" * 20_000 + "?" + "y" * 20_000]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = [(r.url, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df).orderBy("page_id").collect()]
+    assert got == brute_verdicts(urls)
+
+
 def test_urls_without_a_class_or_rows(spark):
     df = spark.createDataFrame([(1, "https://a.net/"), (2, "https://b.xyz/")], "page_id long, url string")
     assert [r.verdict for r in url_filter.judge(df).orderBy("page_id").collect()] == ["block", "allow"]
