@@ -14,6 +14,12 @@ the product over its decisions.
 * Mixing: inputs are summed by weights of a set that a gate selects, by the kind of decision and whether its most
   specific context has been seen. The weights start alike for every text and are refined by the text itself: after
   each CHUNK of words, each set moves along the gradient of the coding cost. All texts of a block advance together.
+* Passages: places where a hash of the two preceding words says so, some RUN apart, and the third token, cut a text into
+  runs. Where those two words were followed in training by a run met twice or more, one decision says whether such
+  a run follows now, and its share among them says which one; the run's tokens then cost nothing else. The inputs of
+  that decision are the log-odds of the counts of its hashed context and a constant, its gate is the outcome of
+  the text's previous one, and the weights move after each. Runs are counted and looked up by shuffle, over all
+  training texts, so they grow with the corpus and are broadcast nowhere.
 
 Training reads all training texts: (word, class) counts are gathered over the whole corpus and entered into the
 tables, partition by partition, and the bins that were met are summed. What is broadcast is the quantised tables and
@@ -22,7 +28,7 @@ each), and, for the unigram base score, the counts of up to KNOWN_WORDS distinct
 are joined by shuffle instead, to the same result.
 
 Nulls and edges: a null text is an empty one and has the end only; null ids are not held out; a text of any length is
-scored whole; repeated rows are each scored; with no training text every input is 0; an empty table gives an empty
+scored whole; repeated rows are each scored, and count each in training; with no training text every input is 0; an empty table gives an empty
 result. Words are told apart by 64-bit hashes in the base score.
 """
 
@@ -51,11 +57,15 @@ ROWS_PER_TABLE, HELD = 1_500_000, 8 << 20
 TERMINATOR, END = 32, 10
 #: Symbols of the first path: `other`, and sizes of places.
 OTHER, SIZES = 0, 32
+#: Tokens of a run of a passage, on average.
+RUN = 32
 #: Bits of a place that see the class; those further on differ little between classes.
 CLASS_DEPTH = 12
 #: Weights at the start of a text: for places (a context of the class unseen or seen), and for spelling (six bytes unseen or seen).
 START = (np.array([[0.9, 0.0], [0.2, 0.8]], np.float32), np.array([[0.4, 0.5, 0.35, 0.0], [0.3, 0.4, 0.25, 0.3]], np.float32))
 RATE = 0.02
+#: For passages: weights of log-odds and constant at the start, where the text's previous decision is none, was no, was yes; and their rate.
+PASSAGE_START, PASSAGE_RATE = np.array([[1.0, 0.0], [0.8, -1.0], [1.0, 1.5]]), 0.1
 _END_HASH = np.uint64(0x5851F42D4C957F2D)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -344,7 +354,7 @@ class Model:
         return np.log10((c + 1) / (self.tokens + self.distinct + 1))
 
     def costs(self, t: Tokens, first: np.ndarray, inverse: np.ndarray, rows: int) -> np.ndarray:
-        """Natural-log cost of each row under the mixed predictors."""
+        """Natural-log cost of each token under the mixed predictors."""
         kind, h = t.kind[first], t.hash[first]
         known, size, place, _ = self.vocabulary.find(h)
         others = np.flatnonzero(~known)
@@ -356,14 +366,15 @@ class Model:
         other[others] = np.arange(len(others))
         order = np.argsort(t.chunk, kind="stable")
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(t.chunk[order])) + 1, [len(order)]])
-        out = np.zeros(rows)
+        out = np.zeros(len(t.row))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             own = order[a:b]
             word, row = inverse[own], t.row[own]
-            places.code(word, row, out)
+            out[own] = places.code(word, row)
             word = other[word]
-            if (word >= 0).any():
-                spelling.code(word[word >= 0], row[word >= 0], out)
+            spell = np.flatnonzero(word >= 0)
+            if len(spell):
+                out[own[spell]] += spelling.code(word[spell], row[spell])
         return out
 
 
@@ -390,13 +401,14 @@ class _Mixer:
                 inputs[bins < 0, m] = 0
         return d.n, inputs
 
-    def code(self, word: np.ndarray, row: np.ndarray, out: np.ndarray) -> None:
-        """Add the cost of these words to their rows (ascending), then move the rows' weights along its gradient."""
+    def code(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The costs of these words of their rows (ascending); the rows' weights move along the gradient of their sum."""
         n = self.n[word]
-        at = np.repeat(self.begin[word] - (np.cumsum(n) - n), n)
+        starts = np.cumsum(n) - n
+        at = np.repeat(self.begin[word] - starts, n)
         at += np.arange(len(at))
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        here, begin = row[first], (np.cumsum(n) - n)[first]  # rows, and where their decisions begin
+        here, begin = row[first], starts[first]  # rows, and where their decisions begin
         size = np.diff(np.append(begin, len(at)))
         x = self.inputs.take(at, axis=0)
         gate = x[:, self.by] != 0
@@ -407,7 +419,7 @@ class _Mixer:
         np.exp(np.minimum(np.negative(e, out=e), np.float32(60), out=e), out=e)
         more = 1 + e
         e /= more
-        out[here] += np.add.reduceat(np.log(more, out=more), begin)
+        cost = np.add.reduceat(np.log(more, out=more), starts)
         x *= e[:, None]
         all_of = np.add.reduceat(x, begin, axis=0)
         x *= gate[:, None]
@@ -416,6 +428,44 @@ class _Mixer:
         weights[:, 1] += step[:, 1, None] * of_seen
         weights[:, 0] += step[:, 0, None] * (all_of - of_seen)
         self.weights[here] = weights
+        return cost
+
+
+def runs(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of passages: the run of each token (-1: the first two of a text) and, for each run, its first token, a hash of the two tokens before and one of its own."""
+    n = len(t.row)
+    place = np.arange(n) - np.searchsorted(t.row, t.row)
+    context = np.zeros(n, np.uint64)
+    context[2:] = mix(mix(t.hash[:-2]) + t.hash[1:-1])
+    inside = place >= 2
+    start = inside & ((place == 2) | (context % np.uint64(RUN) == 0))
+    first = np.flatnonzero(start)
+    run = np.where(inside, np.cumsum(start) - 1, -1)
+    at = np.flatnonzero(inside)
+    own = mix(t.hash[at] + (at - first[run[at]]).astype(np.uint64) * _ODD)
+    return run, first, context[first], mix(np.add.reduceat(own, np.searchsorted(at, first))) if len(first) else own
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, gain) of texts' runs with a known context, (odds, yes, share, cost) each in the order of the text: the log10 probability that passages add."""
+    for batch in batches:
+        lists = batch.column(1)
+        odds, yes, share, cost = (lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in ("odds", "yes", "share", "cost"))
+        size = np.diff(lists.offsets.to_numpy())
+        begin = np.cumsum(size) - size
+        gain, weights, gate = np.zeros(len(size)), np.tile(PASSAGE_START, (len(size), 1, 1)), np.zeros(len(size), np.int64)
+        longest = np.argsort(-size, kind="stable")
+        ascending = size[longest][::-1]
+        for k in range(int(size.max(initial=0))):
+            own = longest[: len(size) - int(np.searchsorted(ascending, k, "right"))]  # texts with more than k runs
+            at = begin[own] + k
+            x, bit = np.stack([odds[at], np.ones(len(at))], axis=1), yes[at]
+            w = weights[own, gate[own]]
+            z = np.einsum("ij,ij->i", x, w)
+            gain[own] += np.where(bit, share[at] + cost[at], 0) - np.logaddexp(0, np.where(bit, -z, z))
+            weights[own, gate[own]] = w + PASSAGE_RATE * x * (bit - 1 / (1 + np.exp(-z)))[:, None]
+            gate[own] = np.where(bit, 2, 1)
+        yield pa.RecordBatch.from_pydict({"row": batch.column(0), "gain": gain / np.log(10)})
 
 
 def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) -> tuple[Model, DataFrame]:
@@ -449,7 +499,15 @@ def train(texts: DataFrame, scratch: Scratch, known_words: int = KNOWN_WORDS) ->
     return Model(code, vocabulary, tables, int(tokens), int(distinct), hashes, known), counts
 
 
-SCHEMA = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, base_score double, score double, hash long, n long"
+#: Rows of texts, of their runs (context, following, cost) and, if known words are too many to hold, of their words (hash, n).
+_FIELDS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_bytes", pa.int64()), ("base_score", pa.float64()), ("word_score", pa.float64()), ("run", pa.int64()), ("context", pa.int64()), ("following", pa.int64()), ("cost", pa.float32()), ("hash", pa.int64()), ("n", pa.int64())])
+SCHEMA = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, base_score double, word_score double, run long, context long, following long, cost float, hash long, n long"
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    """These columns, and nulls in the others."""
+    size = len(columns["row"])
+    return pa.RecordBatch.from_pydict({f.name: columns.get(f.name, pa.nulls(size, f.type)) for f in _FIELDS}, schema=_FIELDS)
 
 
 def _scoring(shared):
@@ -461,42 +519,65 @@ def _scoring(shared):
                 n = j - i
                 t = Tokens(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 first, inverse, _ = t.distinct()
-                score = -model.costs(t, first, inverse, n) / np.log(10)
-                tokens = np.bincount(t.row, minlength=n)
-                out = {"row": base + np.arange(n), "doc_id": batch.column(0).slice(i, n), "held_out": batch.column(1).slice(i, n), "n_tokens": tokens, "n_known": pa.nulls(n, pa.int64()), "n_bytes": np.diff(offsets[i : j + 1]), "base_score": pa.nulls(n, pa.float64()), "score": score, "hash": pa.nulls(n, pa.int64()), "n": pa.nulls(n, pa.int64())}
+                cost = model.costs(t, first, inverse, n)
+                held = batch.column(1).slice(i, n)
+                out = {"row": base + np.arange(n), "doc_id": batch.column(0).slice(i, n), "held_out": held, "n_tokens": np.bincount(t.row, minlength=n), "n_bytes": np.diff(offsets[i : j + 1]), "word_score": -np.bincount(t.row, weights=cost, minlength=n) / np.log(10)}
                 if model.hashes is not None:
                     c = model.count(t.hash[first])[inverse]
                     out["n_known"], out["base_score"] = np.bincount(t.row, weights=c > 0, minlength=n).astype(np.int64), np.bincount(t.row, weights=model.base(c), minlength=n)
-                yield pa.RecordBatch.from_pydict(out)
+                yield _batch(**out)
+                of, begin, context, following = runs(t)
+                row = t.row[begin]
+                inside = of >= 0
+                yield _batch(row=base + row, held_out=held.take(pa.array(row)), run=begin, context=context.view(np.int64), following=following.view(np.int64), cost=np.bincount(of[inside], weights=cost[inside], minlength=len(begin)).astype(np.float32))
                 if model.hashes is None:  # (row, word) counts, for the join
-                    pair = np.rec.fromarrays([t.row, t.hash], names="r,h")
-                    u, count = np.unique(pair, return_counts=True)
-                    none = lambda kind, k=len(u): pa.nulls(k, kind)
-                    yield pa.RecordBatch.from_pydict({"row": base + u["r"], "doc_id": none(pa.int64()), "held_out": none(pa.bool_()), "n_tokens": none(pa.int64()), "n_known": none(pa.int64()), "n_bytes": none(pa.int64()), "base_score": none(pa.float64()), "score": none(pa.float64()), "hash": u["h"].view(np.int64), "n": count.astype(np.int64)})
+                    u, count = np.unique(np.rec.fromarrays([t.row, t.hash], names="r,h"), return_counts=True)
+                    yield _batch(row=base + u["r"], hash=u["h"].view(np.int64), n=count.astype(np.int64))
                 base += n
         trim()
 
     return run
 
 
+def passage_gains(found: DataFrame) -> DataFrame:
+    """(row, gain) of texts from their runs (row, run, held_out, context, following, cost): what passages add to the log10 probability.
+
+    Contexts and runs are counted in the runs that are not held out. A frequent one is pre-aggregated before it is shuffled, and its
+    occurrences meet one row each in the joins, which adaptive execution splits.
+    """
+    seen = found.where(~F.col("held_out")).groupBy("context", "following").agg(F.count("*").alias("n"))
+    again = F.when(F.col("n") > 1, F.col("n")).otherwise(0)
+    contexts = seen.groupBy("context").agg(F.sum(again).alias("again"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once")).where("again > 0")
+    known = seen.where("n > 1").select("context", "following", F.col("n").cast("double").alias("n"))
+    met = found.select("row", "run", "context", "following", "cost").join(contexts, "context").join(known, ["context", "following"], "left")
+    odds = F.log((F.col("again") + 0.4) / (F.col("once") + 0.4)).alias("odds")
+    share = F.coalesce(F.log(F.col("n") / F.col("again")), F.lit(0.0)).alias("share")
+    listed = met.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("run", odds, F.col("n").isNotNull().alias("yes"), share, F.col("cost").cast("double").alias("cost")))).alias("runs"))
+    return listed.mapInArrow(_passages, "row long, gain double")
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out", known_words: int = KNOWN_WORDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability) and bits_per_byte of each text.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability), bits_per_byte and word_score (without passages) of each text.
 
     The model is learned from the rows where held_out_col is false.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     model, counts = train(docs.where(~F.col(held_out_col)).select(text), scratch, known_words)
+    scratch.drop("words")  # it is in the tables
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(held_out_col).alias("held_out"), text).mapInArrow(_scoring(shared), SCHEMA)
+    scored = scratch.keep(rows, "scored")
+    rows = scored.where("n_tokens is not null").select("row", "doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base_score", "word_score")
+    rows = rows.join(passage_gains(scored.where("run is not null")), "row", "left")
     if model.hashes is None:
-        rows = scratch.keep(rows, "scored")
-        found = rows.where("hash is not null").select("row", "hash", F.col("n").alias("times")).join(counts.select("hash", "n"), "hash", "left")
+        found = scored.where("hash is not null").select("row", "hash", F.col("n").alias("times")).join(counts.select("hash", "n"), "hash", "left")
         c = F.coalesce("n", F.lit(0))
         base = found.groupBy("row").agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"), F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(model.tokens + model.distinct + 1)))).alias("base_score"))
-        rows = rows.where("hash is null").drop("n_known", "base_score").join(base, "row")
+        rows = rows.drop("n_known", "base_score").join(base, "row")
+    rows = rows.withColumn("score", F.col("word_score") + F.coalesce("gain", F.lit(0.0)))
     bits = F.when(F.col("n_bytes") > 0, -F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes")).alias("bits_per_byte")
-    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", bits)
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", bits, "word_score")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

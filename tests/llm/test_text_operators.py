@@ -307,7 +307,7 @@ def test_costs_against_a_loop_over_bits(spark):
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
     t = context_mixing.Tokens(np.frombuffer(b"".join(raw), np.uint8), offsets)
     first, inverse, _ = t.distinct()
-    got = model.costs(t, first, inverse, len(texts))
+    got = np.bincount(t.row, weights=model.costs(t, first, inverse, len(texts)), minlength=len(texts))
     bits = model.tables.shape[1].bit_length() - 1
     for row in range(len(texts)):
         own = np.flatnonzero(t.row == row)
@@ -333,6 +333,56 @@ def test_costs_against_a_loop_over_bits(spark):
         assert abs(total - got[row]) < 1e-3 * max(1, total), row
 
 
+def test_passages_against_brute_force(spark):
+    """Runs, their counts in training and every decision in turn, from plain tuples of words, against score - word_score."""
+    import random
+    from collections import Counter
+
+    from edge import lowered
+
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    passages = [prose(rng.choice((40, 90, 200))) for _ in range(12)]
+    texts = [" ".join(rng.choice(passages) if rng.random() < 0.3 else prose(rng.randint(0, 60)) for _ in range(rng.randint(1, 8))) for _ in range(150)]
+    texts += [texts[0]] * 3 + [None, "", "w1", "w1 w2", "w1 w2 w3", "w1 w2 w3", "a " * 500, "A " * 500]
+    rows = [(k, t, k % 7 == 2) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    got = {r.doc_id: r for r in context_mixing.score_texts(df).collect()}
+
+    def cut(text):
+        """(context, run) of a text, by the hashes that the operator computes of words, one at a time."""
+        of = [*tokens(lowered(text)), None]
+        t = context_mixing.Tokens(*(lambda raw: (np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))((text or "").encode()))
+        starts = [i for i in range(2, len(of)) if i == 2 or int(context_mixing.mix(context_mixing.mix(t.hash[i - 2 : i - 1]) + t.hash[i - 1 : i])[0]) % context_mixing.RUN == 0]
+        return [(i, tuple(of[i - 2 : i]), tuple(of[i:j])) for i, j in zip(starts, [*starts[1:], len(of)])], t
+
+    seen = Counter((c, s) for _, text, held in rows if not held for _, c, s in cut(text)[0])
+    again, once = Counter(), Counter()
+    for (c, _), n in seen.items():
+        again[c] += n if n > 1 else 0
+        once[c] += n == 1
+    model, _ = context_mixing.train(df.where("not held_out").select(F.coalesce("text", F.lit("")).alias("text")), Scratch(spark, "test"))
+    hits = 0
+    for k, text, _ in rows:
+        found, t = cut(text)
+        first, inverse, _ = t.distinct()
+        cost = model.costs(t, first, inverse, 1)
+        assert abs(got[k].word_score + cost.sum() / np.log(10)) < 1e-6 * max(1, cost.sum())
+        w, gate, gain = context_mixing.PASSAGE_START.copy(), 0, 0.0
+        for i, c, s in found:
+            if not again[c]:
+                continue
+            x, yes = np.array([np.log((again[c] + 0.4) / (once[c] + 0.4)), 1.0]), seen[c, s] > 1
+            p = 1 / (1 + np.exp(-(w[gate] * x).sum()))
+            gain += np.log(seen[c, s] / again[c]) + cost[i : i + len(s)].sum() + np.log(p) if yes else np.log(1 - p)
+            w[gate] += context_mixing.PASSAGE_RATE * x * (yes - p)
+            gate, hits = 2 if yes else 1, hits + yes
+        assert abs(got[k].score - got[k].word_score - gain / np.log(10)) < 1e-5 * max(1, cost.sum()), k
+    assert hits > 100
+    assert got[0].score > got[0].word_score * 0.5 and got[1].held_out is False
+
+
 def test_scores_beat_the_unigram_on_more_text(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
     row = context_mixing.score_texts(df).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
