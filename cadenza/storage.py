@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.shipping import ship
 
+#: Whether Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own if it is unset on a local master."""
@@ -44,8 +47,16 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df as Parquet and read it back: the lineage ends there, and a lost executor costs nothing."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write df as Parquet and read it back: the lineage ends there, and a lost executor costs nothing.
+
+        The shuffle files of the writing go once the table is complete, as nothing reads them any more.
+        """
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

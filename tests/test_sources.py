@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import time
 
 import numpy as np
 import pandas as pd
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza import storage
 from cadenza.sources import columns, files, manifests, observations
 from cadenza.streaming import inventory
 
@@ -108,3 +110,16 @@ def test_incremental_inventory(spark, tmp_path):
     (tmp_path / "in" / "b.mp4").write_bytes(b"2")
     run()
     assert [s for s in seen if s] == [["a.mp4"], ["b.mp4"]]
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before, setting = shuffled(), spark.conf.get(storage.CLEANUP)
+    kept = storage.Scratch(spark, "test").keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+    deadline = time.monotonic() + 30  # they go in the background
+    while shuffled() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(storage.CLEANUP) == setting
+    assert kept.agg(F.sum("count")).first()[0] == 1000
