@@ -539,15 +539,16 @@ def _scoring(shared):
     return run
 
 
-def passage_gains(found: DataFrame) -> DataFrame:
+def passage_gains(found: DataFrame, scratch: Scratch) -> DataFrame:
     """(row, gain) of texts from their runs (row, run, held_out, context, following, cost): what passages add to the log10 probability.
 
-    Contexts and runs are counted in the runs that are not held out. A frequent one is pre-aggregated before it is shuffled, and its
-    occurrences meet one row each in the joins, which adaptive execution splits.
+    Contexts and runs are counted in the runs that are not held out. A frequent one is pre-aggregated before it is shuffled. Its
+    occurrences meet one row of a table in each join, so that adaptive execution can split them: it would not, were the counts
+    aggregated in the joins' own stages.
     """
-    seen = found.where(~F.col("held_out")).groupBy("context", "following").agg(F.count("*").alias("n"))
+    seen = scratch.keep(found.where(~F.col("held_out")).groupBy("context", "following").agg(F.count("*").alias("n")), "runs")
     again = F.when(F.col("n") > 1, F.col("n")).otherwise(0)
-    contexts = seen.groupBy("context").agg(F.sum(again).alias("again"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once")).where("again > 0")
+    contexts = scratch.keep(seen.groupBy("context").agg(F.sum(again).alias("again"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("once")).where("again > 0"), "contexts")
     known = seen.where("n > 1").select("context", "following", F.col("n").cast("double").alias("n"))
     met = found.select("row", "run", "context", "following", "cost").join(contexts, "context").join(known, ["context", "following"], "left")
     odds = F.log((F.col("again") + 0.4) / (F.col("once") + 0.4)).alias("odds")
@@ -569,7 +570,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(held_out_col).alias("held_out"), text).mapInArrow(_scoring(shared), SCHEMA)
     scored = scratch.keep(rows, "scored")
     rows = scored.where("n_tokens is not null").select("row", "doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base_score", "word_score")
-    rows = rows.join(passage_gains(scored.where("run is not null")), "row", "left")
+    rows = rows.join(passage_gains(scored.where("run is not null"), scratch), "row", "left")
     if model.hashes is None:
         found = scored.where("hash is not null").select("row", "hash", F.col("n").alias("times")).join(counts.select("hash", "n"), "hash", "left")
         c = F.coalesce("n", F.lit(0))
